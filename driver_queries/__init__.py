@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["relational"]
+MODULES = ["relational", "landing"]
 
 ALL_QUERIES, ALL_SQL = {}, {}
 for _m in MODULES:

@@ -78,7 +78,7 @@ def main():
     a = ap.parse_args()
     sf_dir = f"/root/testdata/sf{a.sf}"
     spark = build_session("local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "10g",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "10g",
         "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1",
         "spark.sql.session.timeZone": "UTC"})
     spark.sparkContext.setLogLevel("ERROR")

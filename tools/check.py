@@ -81,7 +81,9 @@ def main():
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "10g",
         "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1",
         "spark.sql.session.timeZone": "UTC"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
+    import logging
+    logging.disable(logging.ERROR)
     from driver_queries import ALL_QUERIES, ALL_SQL
     names = a.names or list(ALL_QUERIES)
     if a.module:
@@ -96,7 +98,7 @@ def main():
                 continue
             st, rows, spent, note = compare(spark, con, n, ALL_QUERIES[n], ALL_SQL.get(n), sf_dir)
         except Exception as e:  # noqa: BLE001
-            st, rows, spent, note = "ERROR", 0, 0.0, str(e)[:1500]
+            st, rows, spent, note = "ERROR", 0, 0.0, str(e)[:600]
         bad += st not in ("ok", "rows-only")
         print(f"{st:9} {n:32} rows={rows:<8} {spent:6.2f}s {note}", flush=True)
     print("bad:", bad)

@@ -65,7 +65,7 @@ def check_text_length(df: DataFrame) -> DataFrame:
 def check_extracted(df: DataFrame) -> DataFrame:
     """The extracted fields people look at first."""
     return df.select("modality", "record_id", "file_name", "patient_name", "provider_name", "diagnosis",
-                     F.col("emails").alias("emails"), "total_amount")
+                     "total_amount")
 
 
 def check_classification(df: DataFrame) -> DataFrame:

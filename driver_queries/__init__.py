@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["relational", "landing", "enrichment", "similarity", "search", "insights"]
+MODULES = ["relational", "landing", "enrichment", "similarity", "search", "insights", "intake"]
 
 ALL_QUERIES, ALL_SQL = {}, {}
 for _m in MODULES:

@@ -45,14 +45,18 @@ def embed(df: DataFrame, id_col: str = "id", col: str = "text") -> DataFrame:
 
 def embed_counts(counts: DataFrame, id_col: str = "id") -> DataFrame:
     """The same from a written (id, doc_len, term, tf) table."""
-    dfs = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "embed-df")
     n = counts.agg(F.count_distinct(id_col)).first()[0]
     idf = F.lit(1.0) + F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df")))
+    # Weight and bucket are worked out once per word, not once per occurrence.
+    words = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    words = materialize(words.select("term", "df", idf.alias("idf"), bucket(F.col("term")).alias("bucket")), "embed-words")
     raw = (
-        join_hot_split(counts.select(id_col, "term", "tf"), dfs, ["term"], "df")
-        .select(id_col, bucket(F.col("term")).alias("bucket"), (F.col("tf") * idf).alias("w"))
-        .groupBy(id_col, "bucket").agg(F.sum("w").alias("w"))
+        join_hot_split(counts.select(id_col, "term", "tf"), words, ["term"], "df")
+        .select(id_col, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
+        # Words of one document seldom share a bucket: one exchange by document serves the
+        # bucket sums and the norm.
         .repartition(id_col)
+        .groupBy(id_col, "bucket").agg(F.sum("w").alias("w"))
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(id_col)))
     return raw.select(id_col, "bucket", (F.col("w") / norm).alias("w"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # Rows a side may have before it is broadcast. Rows here are narrow (a term and a
 # weight, a key and a rank), so this stays far below a tenth of an executor's memory.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 500_000
 
 
 def build_session(master: str | None = None, app: str = "clinisift", **conf) -> SparkSession:
@@ -78,10 +78,13 @@ def join_hot_split(
 
     A key holding more than 1/hot_keys of all rows is hot. There can be at most
     ``hot_keys`` of those, so their side is broadcast with a proven bound and hot rows
-    of ``left`` never move; the remaining keys are light enough to shuffle.
+    of ``left`` never move; the remaining keys are light enough to shuffle. A ``right``
+    that is small as a whole is broadcast at once.
     """
-    total = right.agg(F.sum(weight)).first()[0] or 0
-    limit = max(1, total // hot_keys)
+    stats = right.agg(F.sum(weight).alias("total"), F.count(F.lit(1)).alias("n")).first()
+    if stats["n"] <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), keys)
+    limit = max(1, (stats["total"] or 0) // hot_keys)
     hot = right.filter(F.col(weight) > limit)
     cold = right.filter(F.col(weight) <= limit)
     hot_side = left.join(F.broadcast(hot), keys)

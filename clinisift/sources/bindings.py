@@ -18,6 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts, spread over all cores.
+
+    A few files of one row group each would keep whole texts in a few tasks; only then are
+    rows moved. A table with at least one split per core is read as it is.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *_TEXT_KEYS[name])
+
+
 def claims(spark: SparkSession, sf_dir: str, diagnosis: bool = False) -> DataFrame:
     """One row per line item. ``diagnosis`` adds the part join only where it is needed."""
     li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
@@ -159,7 +173,7 @@ def _header(col, patient_label: str = "Patient Name"):
 def txt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files with their header lines: (id, file_name, text)."""
     d = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         d.alias("id"), F.concat(F.lit("doc_"), d, F.lit(".txt")).alias("file_name"),
         F.concat(_header(d), F.col("text")).alias("text"),
     )
@@ -169,7 +183,7 @@ def pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Laid-out documents, header as paragraphs before the page markup: (id, file_name, html)."""
     d = F.col("page_id")
     head = F.concat(F.lit("<p>"), F.regexp_replace(_header(d), "\n", "</p><p>"), F.lit("</p>"))
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages").select(
         d.alias("id"), F.concat(F.lit("page_"), d, F.lit(".pdf")).alias("file_name"),
         F.concat(head, F.col("html")).alias("html"),
     )
@@ -182,7 +196,7 @@ def audio_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("\nChief Complaint: "),
                     F.element_at(F.array(*[F.lit(x) for x in CONDITIONS]), (c % 5 + 1).cast("int")),
                     F.lit("\n"))
-    return table(spark, sf_dir, "conversations").select(
+    return texts(spark, sf_dir, "conversations").select(
         c.alias("id"), audio_name(c).alias("file_name"), "turn", "role",
         F.when(F.col("turn") == 0, F.concat(head, F.col("text"))).otherwise(F.col("text")).alias("text"),
     )

@@ -26,16 +26,16 @@ def add(name, fn, sql=None):
 
 
 def docs(s, d):
-    return B.table(s, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    return B.texts(s, d, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 def pages(s, d):
-    return B.table(s, d, "pages").select(F.col("page_id").alias("id"), "html")
+    return B.texts(s, d, "pages").select(F.col("page_id").alias("id"), "html")
 
 
 def segments(s, d):
     c = F.col("conv_id")
-    return B.table(s, d, "conversations").select(c.alias("id"), B.audio_name(c).alias("file_name"), "turn", "role", "text")
+    return B.texts(s, d, "conversations").select(c.alias("id"), B.audio_name(c).alias("file_name"), "turn", "role", "text")
 
 
 DOCS = "docs AS (SELECT doc_id AS id, text FROM documents)"
@@ -111,7 +111,7 @@ add("detect_language", lambda s, d: L.detect_language(docs(s, d)),
 def _language_quality(s, d):
     """Documents by true and by detected language."""
     names = F.create_map(*[F.lit(x) for x in ("en", "English", "fr", "French", "de", "German", "es", "Spanish")])
-    truth = B.table(s, d, "documents").select(F.col("doc_id").alias("id"), F.element_at(names, F.col("lang")).alias("expected"))
+    truth = B.texts(s, d, "documents").select(F.col("doc_id").alias("id"), F.element_at(names, F.col("lang")).alias("expected"))
     return truth.join(L.detect_language(docs(s, d)), "id").groupBy("expected", "language").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -123,7 +123,7 @@ add("language_quality", _language_quality,
 
 def _with_lang(s, d):
     names = F.create_map(*[F.lit(x) for x in ("en", "English", "fr", "French", "de", "German", "es", "Spanish")])
-    return B.table(s, d, "documents").select(F.col("doc_id").alias("id"), "text", F.element_at(names, F.col("lang")).alias("language"))
+    return B.texts(s, d, "documents").select(F.col("doc_id").alias("id"), "text", F.element_at(names, F.col("lang")).alias("language"))
 
 
 LANGS = """dl AS (SELECT doc_id AS id, text, CASE lang WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German'
@@ -194,7 +194,7 @@ def group_summary_sql(src: str, group: str) -> str:
 
 
 add("summarize_agg",
-    lambda s, d: S.summarize_agg(B.table(s, d, "documents").select(F.col("doc_id").alias("id"), "source", "text"), "source"),
+    lambda s, d: S.summarize_agg(B.texts(s, d, "documents").select(F.col("doc_id").alias("id"), "source", "text"), "source"),
     group_summary_sql("src AS (SELECT doc_id AS id, source, text FROM documents)", "source"))
 
 

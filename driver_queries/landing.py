@@ -93,7 +93,7 @@ add("load_history", _history,
       CASE WHEN event_type = 'error' THEN 'LOAD_FAILED' ELSE 'LOADED' END AS status,
       CAST(json_extract_string(props, '$.k') AS BIGINT) AS row_count, ts
       FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 24 HOURS ORDER BY ts DESC, file_name LIMIT 20""")
-add("dedup_arrivals", lambda s, d: L.dedup_arrivals(B.table(s, d, "documents"), F.col("text"), "doc_id"),
+add("dedup_arrivals", lambda s, d: L.dedup_arrivals(B.texts(s, d, "documents"), F.col("text"), "doc_id"),
     """SELECT sha256(text) AS digest, CAST(length(text) AS BIGINT) AS n_chars, min(doc_id) AS doc_id, count(*) AS n_copies
       FROM documents GROUP BY text""")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as LX
 from ..functions import text as X
 from ..functions.numbers import rounded
-from ..session import broadcast_if_small
+from ..session import BROADCAST_ROWS, broadcast_if_small
 
 
 def _slot(family: str, label: str) -> str:
@@ -22,25 +22,26 @@ def _slot(family: str, label: str) -> str:
 def lexicon_sums(df: DataFrame, rows: list[tuple], id_col: str = "id", col: str = "text") -> DataFrame:
     """Sum of positive and of negative weights per (family, label), one row per document.
 
-    All word lists are scored in the same pass over the tokens. Several rows with the
-    same id (segments of a recording) add up.
+    All word lists are scored in the same pass over the tokens: a token costs one lookup
+    and one addition to a narrow (document, slot) sum; only those few sums are laid out
+    as columns. Several rows with the same id (segments of a recording) add up.
     """
     spark = df.sparkSession
-    # One row per term, holding its weight in every list it belongs to.
     slots = sorted({(f, lab) for f, lab, _, _ in rows})
-    lex = LX.lexicon_frame(spark, rows)
-    picks = [
-        F.sum(F.when((F.col("family") == f) & (F.col("label") == lab), F.col("weight"))).alias(_slot(f, lab))
-        for f, lab in slots
-    ]
-    wide = broadcast_if_small(lex.groupBy("term").agg(*picks))
+    number = {s: 2 * i for i, s in enumerate(slots)}
+    # Even slots take positive weights, odd ones negative.
+    entries = [(t, number[(f, lab)] + (w < 0), abs(w)) for f, lab, t, w in rows]
+    lex = spark.createDataFrame(entries, "term string, slot int, w double")
+    if len(entries) <= BROADCAST_ROWS:  # a Python list of known length; no job is needed to count it
+        lex = F.broadcast(lex)
     tokens = df.select(id_col, F.explode_outer(X.token_array(F.col(col))).alias("term"))
-    sums = []
-    for f, lab in slots:
-        w = F.col(f"`{_slot(f, lab)}`")
-        sums += [F.coalesce(F.sum(F.when(w > 0, w)), F.lit(0.0)).alias(_slot(f, lab) + "|pos"),
-                 F.coalesce(F.sum(F.when(w < 0, -w)), F.lit(0.0)).alias(_slot(f, lab) + "|neg")]
-    return tokens.join(wide, "term", "left").groupBy(id_col).agg(*sums)
+    # Tokens without a hit fold into one NULL slot, which keeps documents without any.
+    narrow = tokens.join(lex, "term", "left").groupBy(id_col, "slot").agg(F.sum("w").alias("s"))
+    sums = [
+        F.coalesce(F.max(F.when(F.col("slot") == number[k] + neg, F.col("s"))), F.lit(0.0)).alias(_slot(*k) + ("|neg" if neg else "|pos"))
+        for k in slots for neg in (0, 1)
+    ]
+    return narrow.groupBy(id_col).agg(*sums)
 
 
 def best_label(family: str, labels: list[str]) -> tuple[Column, Column]:

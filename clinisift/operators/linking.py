@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from itertools import combinations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,16 +17,16 @@ def normal_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.trim(c), r"^(dr|mr|mrs|ms|prof) ", ""))
 
 
-@F.pandas_udf("array<string>")
-def _deletions(names: pd.Series) -> pd.Series:
+def deletions(name: Column) -> Column:
     """The name with any zero, one or two characters left out."""
+
     def of(n: str) -> list[str]:
         out = {n}
         for r in (1, 2):
             out.update("".join(c for i, c in enumerate(n) if i not in cut) for cut in combinations(range(len(n)), r))
         return sorted(out)
 
-    return names.map(of)
+    return F.pandas_udf(lambda names: names.map(of), "array<string>", F.PandasUDFType.SCALAR)(name)
 
 
 def resolve_patient(records: DataFrame, master: DataFrame) -> DataFrame:
@@ -46,10 +45,10 @@ def resolve_patient(records: DataFrame, master: DataFrame) -> DataFrame:
     names = materialize(r.filter(F.col("r_name") != "").select("r_name").distinct(), "record-names")
     exact = names.join(m, F.col("r_name") == F.col("m_name")).select("r_name", "patient_id", F.lit(0).alias("distance"))
     missing = names.join(m, F.col("r_name") == F.col("m_name"), "left_anti")
-    a = missing.select("r_name", F.explode(_deletions(F.col("r_name"))).alias("form"))
+    a = missing.select("r_name", F.explode(deletions(F.col("r_name"))).alias("form"))
     near = missing.select(F.soundex("r_name").alias("s")).distinct()
     cand = m.join(near, F.soundex("m_name") == F.col("s"), "left_semi")
-    b = cand.select("m_name", "patient_id", F.explode(_deletions(F.col("m_name"))).alias("form"))
+    b = cand.select("m_name", "patient_id", F.explode(deletions(F.col("m_name"))).alias("form"))
     d = F.levenshtein("r_name", "m_name")
     close = (
         a.join(b, "form").filter(F.soundex("r_name") == F.soundex("m_name")).select("r_name", "patient_id", d.alias("distance"))

@@ -33,8 +33,10 @@ def _top_positions(base: DataFrame, id_col: str, col: str, n: int) -> DataFrame:
 
 
 def pick_sentences(sentences: Column, positions: Column) -> Column:
-    picked = F.transform(positions, lambda p: F.trim(F.element_at(sentences, p + 1)))
-    return F.left(F.array_join(picked, " "), F.lit(MAX_CHARS))
+    """Sentences at the positions, in order. One walk over the sentences: looked up inside a
+    function of the positions, the text would be split again for each of them."""
+    picked = F.filter(sentences, lambda s, i: F.array_contains(positions, i))
+    return F.left(F.array_join(F.transform(picked, F.trim), " "), F.lit(MAX_CHARS))
 
 
 def summarize(df: DataFrame, n: int = 3, id_col: str = "id", col: str = "text") -> DataFrame:

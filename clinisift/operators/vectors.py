@@ -33,7 +33,9 @@ def term_counts(df: DataFrame, id_col: str = "id", col: str = "text") -> DataFra
     # The length is computed below the explode; next to it, it would be redone per token.
     arr = df.select(id_col, X.token_array(F.col(col)).alias("terms"))
     arr = arr.select(id_col, F.size("terms").cast("long").alias("doc_len"), "terms")
-    tok = arr.select(id_col, "doc_len", F.explode("terms").alias("term"))
+    # The outer form keeps the optimizer from testing the array for rows first, which would
+    # tokenize every text a second time below the exchange; the filter drops its NULLs.
+    tok = arr.select(id_col, "doc_len", F.explode_outer("terms").alias("term"))
     return tok.filter(F.col("term") != "").groupBy(id_col, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

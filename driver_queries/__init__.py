@@ -1,7 +1,12 @@
 """Every operator bound to the given tables, with the SQL that computes the same rows."""
 
+import sys
 from importlib import import_module
 
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MODULES = ["relational", "landing", "enrichment", "similarity", "search", "insights", "intake"]
 
 ALL_QUERIES, ALL_SQL = {}, {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,7 +27,11 @@ def deletions(name: Column) -> Column:
             out.update("".join(c for i, c in enumerate(n) if i not in cut) for cut in combinations(range(len(n)), r))
         return sorted(out)
 
-    return F.pandas_udf(lambda names: names.map(of), "array<string>", F.PandasUDFType.SCALAR)(name)
+    @F.pandas_udf("array<string>")
+    def spread(names: pd.Series) -> pd.Series:
+        return names.map(of)
+
+    return spread(name)
 
 
 def resolve_patient(records: DataFrame, master: DataFrame) -> DataFrame:

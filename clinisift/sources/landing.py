@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -57,6 +59,7 @@ def load_reference_table(spark: SparkSession, path: str, schema: T.StructType, d
     with_bad = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     raw = (spark.read.schema(with_bad).option("header", "true").option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
+    raw = materialize(raw, "reference-load")  # a raw file cannot be asked for its bad lines alone
     good = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     bad = raw.filter(F.col("_corrupt_record").isNotNull()).select(F.col("_corrupt_record").alias("raw"))
     return (good.fillna(defaults) if defaults else good), bad

@@ -56,7 +56,7 @@ def enrich_document(files: DataFrame, modality: str, vocab: Vocabulary, processe
     if modality == "AUDIO":
         # Long transcripts are put together once; every branch below reads the result.
         base = materialize(base, "transcripts")
-    base = base.repartition("id")
+    base = base.filter(F.col("id").isNotNull()).repartition("id")
     text = F.col("text")
 
     rows = [*LX.label_rows(vocab.labels, "class"), *LX.polarity_rows(vocab.polarity),

@@ -23,20 +23,24 @@ def lexicon_sums(df: DataFrame, rows: list[tuple], id_col: str = "id", col: str
     """Sum of positive and of negative weights per (family, label), one row per document.
 
     All word lists are scored in the same pass over the tokens: a token costs one lookup
-    and one addition to a narrow (document, slot) sum; only those few sums are laid out
-    as columns. Several rows with the same id (segments of a recording) add up.
+    and one addition to a narrow (document, word number) count; only the few sums made of
+    those are laid out as columns. Several rows with the same id (segments) add up.
     """
     spark = df.sparkSession
     slots = sorted({(f, lab) for f, lab, _, _ in rows})
     number = {s: 2 * i for i, s in enumerate(slots)}
+    term_no = {t: i for i, t in enumerate(sorted({t for _, _, t, _ in rows}))}
     # Even slots take positive weights, odd ones negative.
-    entries = [(t, number[(f, lab)] + (w < 0), abs(w)) for f, lab, t, w in rows]
-    lex = spark.createDataFrame(entries, "term string, slot int, w double")
-    if len(entries) <= BROADCAST_ROWS:  # a Python list of known length; no job is needed to count it
-        lex = F.broadcast(lex)
+    entries = [(term_no[t], number[(f, lab)] + (w < 0), abs(w)) for f, lab, t, w in rows]
+    terms = spark.createDataFrame(list(term_no.items()), "term string, no int")
+    weights = spark.createDataFrame(entries, "no int, slot int, w double")
+    if len(entries) <= BROADCAST_ROWS:  # Python lists of known length; no job is needed to count them
+        terms, weights = F.broadcast(terms), F.broadcast(weights)
     tokens = df.select(id_col, F.explode_outer(X.token_array(F.col(col))).alias("term"))
-    # Tokens without a hit fold into one NULL slot, which keeps documents without any.
-    narrow = tokens.join(lex, "term", "left").groupBy(id_col, "slot").agg(F.sum("w").alias("s"))
+    # Tokens without a hit fold into one NULL number, which keeps documents without any. A
+    # word that is in several lists is counted once and spread over its lists afterwards.
+    counted = tokens.join(terms, "term", "left").groupBy(id_col, "no").agg(F.count(F.lit(1)).alias("n"))
+    narrow = counted.join(weights, "no", "left").groupBy(id_col, "slot").agg(F.sum(F.col("w") * F.col("n")).alias("s"))
     sums = [
         F.coalesce(F.max(F.when(F.col("slot") == number[k] + neg, F.col("s"))), F.lit(0.0)).alias(_slot(*k) + ("|neg" if neg else "|pos"))
         for k in slots for neg in (0, 1)

@@ -20,11 +20,18 @@ MIN_LEN = 3
 MAX_CHARS = 10_000
 
 
+def _by_document(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
+    """Rows spread by document. Joins add the NULL test to one side only; stated for all,
+    it lets every branch read the same exchange."""
+    return df.filter(F.col(id_col).isNotNull()).select(id_col, *cols).repartition(id_col)
+
+
 def _top_positions(base: DataFrame, id_col: str, col: str, n: int) -> DataFrame:
     sent = base.select(id_col, F.posexplode(X.sentence_array(F.col(col))).alias("pos", "sentence"))
     tok = sent.select(id_col, "pos", F.explode(X.token_array(F.col("sentence"))).alias("term"))
     tok = tok.filter(F.length("term") >= MIN_LEN)
-    tf = F.count(F.lit(1)).over(W.partitionBy(id_col, "term"))
+    # The word comes first in the sort: it tells rows apart within its leading bytes.
+    tf = F.count(F.lit(1)).over(W.partitionBy("term", id_col))
     scored = tok.select(id_col, "pos", tf.alias("tf")).groupBy(id_col, "pos").agg(
         rounded(F.sum("tf") / F.count(F.lit(1)), 9).alias("score"))
     order = W.partitionBy(id_col).orderBy(F.desc("score"), "pos")
@@ -36,12 +43,12 @@ def pick_sentences(sentences: Column, positions: Column) -> Column:
     """Sentences at the positions, in order. One walk over the sentences: looked up inside a
     function of the positions, the text would be split again for each of them."""
     picked = F.filter(sentences, lambda s, i: F.array_contains(positions, i))
-    return F.left(F.array_join(F.transform(picked, F.trim), " "), F.lit(MAX_CHARS))
+    return F.left(F.array_join(F.transform(picked, lambda s: F.trim(s)), " "), F.lit(MAX_CHARS))
 
 
 def summarize(df: DataFrame, n: int = 3, id_col: str = "id", col: str = "text") -> DataFrame:
     """The ``n`` sentences whose words are most frequent in the document, in text order."""
-    base = df.select(id_col, col).repartition(id_col)
+    base = _by_document(df, id_col, col)
     top = _top_positions(base, id_col, col, n)
     return base.join(top, id_col, "left").select(
         id_col, pick_sentences(X.sentence_array(F.col(col)), F.col("positions")).alias("summary"))
@@ -51,7 +58,7 @@ def marked_sentences(text: Column, terms: list[str]) -> Column:
     """Sentences holding any of the terms, in text order, joined by blanks."""
     pattern = " (" + "|".join(terms) + ") "
     hits = F.filter(X.sentence_array(text), lambda s: F.concat(F.lit(" "), X.token_text(s), F.lit(" ")).rlike(pattern))
-    return F.array_join(F.transform(hits, F.trim), " ")
+    return F.array_join(F.transform(hits, lambda s: F.trim(s)), " ")
 
 
 def insight_text(summary: Column, text: Column, urgent: list[str], follow_up: list[str]) -> Column:
@@ -64,7 +71,7 @@ def insight_text(summary: Column, text: Column, urgent: list[str], follow_up: li
 def key_insights(df: DataFrame, urgent=LX.URGENT_TERMS, follow_up=LX.FOLLOW_UP_TERMS,
                  id_col: str = "id", col: str = "text") -> DataFrame:
     """Top sentences, urgent items and follow-ups of every document as one note."""
-    base = df.select(id_col, col).repartition(id_col)
+    base = _by_document(df, id_col, col)
     top = _top_positions(base, id_col, col, 3)
     summary = pick_sentences(X.sentence_array(F.col(col)), F.col("positions"))
     return base.join(top, id_col, "left").select(

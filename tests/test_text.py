@@ -138,3 +138,10 @@ def test_enrichment_keeps_every_file(spark, modality):
     assert r[1]["extracted_fields"]["patient_name"] == "Ada Example" and len(r[1]["embedding"]) == 768
     assert r[1]["sentiment_dimensions"]["urgency"] == 1.0 and "Urgent review" in r[1]["key_insights"]
     assert r[5]["detected_language"] == "German" and r[5]["translated_text"] and r[1]["translated_text"] is None
+
+
+def test_sentences_keep_their_digits(spark):
+    """The position of a sentence must not be taken for characters to trim."""
+    t = "Case 100. 0 urgent 0. Follow 11."
+    r = S.key_insights(docs(spark, [(1, t)])).first()["key_insights"]
+    assert r == "INSIGHTS: Case 100. 0 urgent 0. Follow 11.\nURGENT: 0 urgent 0.\nFOLLOW-UP: Follow 11."

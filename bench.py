@@ -1,6 +1,6 @@
 """Times the headline queries and prints one JSON line.
 
-Every query runs once to warm up and then three times; the median counts. Tables that
+Every query runs once to warm up and then BENCH_RUNS times (default 1); the median counts. Tables that
 queries share (index, intelligence) are timed where they are built, as queries of their own.
 """
 
@@ -18,7 +18,7 @@ from clinisift.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 QUERIES = [
     "billed_by_specialty", "claims_by_status", "patients_most_appointments", "visit_type_stats", "claims_summary",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 
 
 def normal_name(name: Column) -> Column:
@@ -50,13 +50,14 @@ def resolve_patient(records: DataFrame, master: DataFrame) -> DataFrame:
     names = materialize(r.filter(F.col("r_name") != "").select("r_name").distinct(), "record-names")
     exact = names.join(m, F.col("r_name") == F.col("m_name")).select("r_name", "patient_id", F.lit(0).alias("distance"))
     missing = names.join(m, F.col("r_name") == F.col("m_name"), "left_anti")
-    a = missing.select("r_name", F.explode(deletions(F.col("r_name"))).alias("form"))
+    a = materialize(missing.select("r_name", F.explode(deletions(F.col("r_name"))).alias("form")), "record-forms")
     near = missing.select(F.soundex("r_name").alias("s")).distinct()
     cand = m.join(near, F.soundex("m_name") == F.col("s"), "left_semi")
     b = cand.select("m_name", "patient_id", F.explode(deletions(F.col("m_name"))).alias("form"))
     d = F.levenshtein("r_name", "m_name")
     close = (
-        a.join(b, "form").filter(F.soundex("r_name") == F.soundex("m_name")).select("r_name", "patient_id", d.alias("distance"))
+        # Names left unresolved are usually few: then the forms of the master list stay put.
+        b.join(broadcast_if_small(a), "form").filter(F.soundex("r_name") == F.soundex("m_name")).select("r_name", "patient_id", d.alias("distance"))
         .filter(F.col("distance") <= 2)
         .groupBy("r_name").agg(F.min(F.struct("distance", "patient_id")).alias("best"))
         .select("r_name", F.col("best.patient_id").alias("patient_id"), F.col("best.distance").alias("distance"))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 DOCUMENT_LABELS = ["Lab Report", "Discharge Summary", "Prescription", "Radiology Report",
                    "Insurance Claim", "Referral Letter", "Clinical Notes", "Pathology Report"]
 TEXT_LABELS = [*DOCUMENT_LABELS, "Patient Intake Form", "Nursing Notes"]
-CONSULTATION_LABELS = ["Initial Consultation", "Follow-Up Visit", "Urgent Care", "Specialist Referral",
-                       "Medication Review", "Test Results Discussion", "Preventive Care", "Mental Health"]
+CONSULTATION_LABELS = ["Initial Consultation", "Follow-Up Visit", "Specialist Referral", "Prescription Review",
+                       "Lab Results Discussion", "Mental Health Session", "Insurance Discussion", "Emergency Consultation"]
 LANGUAGES = ["English", "Spanish", "French", "German", "Portuguese", "Chinese", "Japanese", "Korean", "Arabic"]
 
 # Dimensions scored next to the overall sentiment.
@@ -32,12 +32,12 @@ DOCUMENT_TERMS = {
 CONSULTATION_TERMS = {
     "Initial Consultation": "new first history introduce",
     "Follow-Up Visit": "follow followup since improved",
-    "Urgent Care": "urgent emergency severe sudden",
     "Specialist Referral": "specialist referral refer surgeon",
-    "Medication Review": "medication dose refill effects",
-    "Test Results Discussion": "results test scan normal",
-    "Preventive Care": "screening vaccine prevention annual",
-    "Mental Health": "anxiety depression mood therapy",
+    "Prescription Review": "medication dose refill effects",
+    "Lab Results Discussion": "results test scan normal",
+    "Mental Health Session": "anxiety depression mood therapy",
+    "Insurance Discussion": "insurance claim coverage policy",
+    "Emergency Consultation": "urgent emergency severe sudden",
 }
 
 # Frequent function words per language. The last four languages are told by script.

@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from ..session import join_hot_split, materialize
 
 # Instruction texts for documents and for consultations.
-INSIGHT_PROMPT = ("You are a medical document analyst. Given the following medical document, provide: 1) Three key clinical "
-                  "insights, 2) Any urgent action items, 3) Recommended follow-ups. Be concise.\n\nDocument:\n")
-NOTES_PROMPT = ("You are a clinical documentation specialist. From the following consultation transcript write SOAP notes "
-                "(Subjective, Objective, Assessment, Plan).\n\nTranscript:\n")
+INSIGHT_PROMPT = ("Read the medical document below. List its three most important findings, then anything that needs "
+                  "action at once, then what should be followed up.\n\n")
+NOTES_PROMPT = ("Turn the consultation below into notes under four headings: subjective, objective, assessment, plan.\n\n")
 
 
 def build_prompts(df: DataFrame, id_col: str, instruction: str, text: Column) -> DataFrame:

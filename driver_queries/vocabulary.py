@@ -9,9 +9,9 @@ DOCUMENT_TERMS = {
     "Clinical Notes": "it den une por", "Pathology Report": "for mit du las",
 }
 CONSULTATION_TERMS = {
-    "Initial Consultation": "the der le el", "Follow-Up Visit": "of und la", "Urgent Care": "and die les que",
-    "Specialist Referral": "to das des y", "Medication Review": "is von et en", "Test Results Discussion": "that zu un los",
-    "Preventive Care": "it den une por", "Mental Health": "for mit du las",
+    "Initial Consultation": "the der le el", "Follow-Up Visit": "of und la", "Specialist Referral": "to das des y",
+    "Prescription Review": "is von et en", "Lab Results Discussion": "that zu un los", "Mental Health Session": "for mit du las",
+    "Insurance Discussion": "it den une por", "Emergency Consultation": "and die les que",
 }
 POLARITY = {1: "the that with la und es", -1: "was by de er this des"}
 ASPECTS = {

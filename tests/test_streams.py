@@ -120,3 +120,17 @@ def test_reference_load_splits_bad_rows(spark, tmp_path):
 
 def test_cluster_folder_is_used(spark):
     assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
+    src = str(tmp_path / "in")
+    schema = "event_time timestamp, kind long"
+    for hour in (1, 10, 11, 2):
+        rows = spark.range(3).select(F.timestamp_seconds(1704067200 + hour * 3600 + F.col("id")).alias("event_time"), F.col("id").alias("kind"))
+        rows.coalesce(1).write.mode("append").parquet(src)
+    # Files are taken in the order they were written, one per batch.
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    counts = A.windowed_counts(stream.withWatermark("event_time", "1 hour"), "kind")
+    q = (counts.writeStream.outputMode("update").format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert A.late_rows(q) == 3

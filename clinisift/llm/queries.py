@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, topk, toxicity
+from . import bpe, exact_dedup, mixing, near_dedup, topk, toxicity
 
 #: Where the public tokenizer files lie; a parameter of the operators.
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
@@ -38,6 +38,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.pivot_table(table(spark, sf_dir, "embeddings")), F.col("id") % 50 == 0)
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_toxicity": op5_toxicity,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_topk": op9_topk,
     "op10_mixing": op10_mixing,
 }

@@ -23,7 +23,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers: list[np.ndarray] = []
+class _Table(list):
+    """A table that each process fills for itself: it travels empty with the functions that use it."""
+
+    def __reduce__(self):
+        return _Table, ()
+
+
+_powers = _Table()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

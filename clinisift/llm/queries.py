@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, near_dedup, repeats, topk, toxicity
+from . import bpe, exact_dedup, html_text, mixing, near_dedup, repeats, topk, toxicity
 
 #: Where the public tokenizer files lie; a parameter of the operators.
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
@@ -34,6 +34,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_html_text": op4_html_text,
     "op5_toxicity": op5_toxicity,
     "op7_suffix_repeats": op7_suffix_repeats,
     "op8_ngram_jaccard": op8_ngram_jaccard,

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, mixing, near_dedup, repeats, topk, toxicity
+from clinisift.session import fresh_path
+
+from . import bpe, exact_dedup, html_text, mixing, near_dedup, repeats, revisits, token_files, topk, toxicity
 
 #: Where the public tokenizer files lie; a parameter of the operators.
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
@@ -34,6 +36,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, written as flat token files by Spark, counted from the files alone."""
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_BPE, path)
+    return token_files.token_counts(spark, path)
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -42,6 +51,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits among the records that a crawler of all pages would leave."""
+    found = revisits.resolve_revisits(revisits.captures_of_pages(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select("record_id", "canonical_url", "resolved_id", "outcome", F.array_join(lines, "|").alias("headers"), "digest")
+
+
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -62,8 +78,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_html_text": op4_html_text,
     "op5_toxicity": op5_toxicity,
+    "op6_revisits": op6_revisits,
     "op7_suffix_repeats": op7_suffix_repeats,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_topk": op9_topk,
@@ -71,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op6_revisits": revisits.SQL,
     "op9_topk": topk.SQL,
 }

@@ -42,7 +42,7 @@ def write_token_files(docs: DataFrame, vocab_path: str, path: str, block_bytes:
             written += 2 * (int(limits[-1] - limits[0]) + len(rows))
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
         if written:
-            fill = -(written + 2) % block_bytes
+            fill = -(written + 2) % block_bytes or block_bytes
             yield pa.RecordBatch.from_arrays([pa.array([PAD.to_bytes(2, "big") * (fill // 2)], pa.binary())], ["value"])
 
     rows = encode(docs, vocab_path).mapInArrow(run, "value binary")
@@ -50,22 +50,27 @@ def write_token_files(docs: DataFrame, vocab_path: str, path: str, block_bytes:
     rows.select(F.col("value").cast("string")).write.option("lineSep", end).text(path)
 
 
-def scan_block(data: bytes, end: int = END, pad: int = PAD) -> tuple[int, int, int, int, list[int], list[int]]:
-    """(tokens, ends, head, tail, starts, lengths) of one block.
+def scan_block(data: bytes, end: int = END, pad: int = PAD) -> tuple:
+    """(ends, opens, head, tail, head_pads, tail_pads, starts, lengths) of one block.
 
-    head: tokens before the first end; tail: after the last one; both are all tokens if the
-    block has none. starts and lengths are of the documents that lie wholly inside. Padding
-    does not count. All separators are found in one vectorised comparison.
+    opens: place after the last end, -1 without one. head: tokens before the first end; tail:
+    after the last one; both are all tokens if the block has no end; their paddings likewise.
+    starts and lengths are of the documents that lie wholly inside. All separators are found
+    in one vectorised comparison.
     """
     ids = np.frombuffer(data, ">u2")
     ends = np.flatnonzero(ids == end)
     real = np.r_[0, np.cumsum((ids != pad) & (ids != end))]
-    n = int(real[-1])
+    pads = np.r_[0, np.cumsum(ids == pad)]
+    n, p = int(real[-1]), int(pads[-1])
     if not len(ends):
-        return n, 0, n, n, [], []
+        return 0, -1, n, n, p, p, [], []
+    first, last = ends[0], ends[-1]
     lengths = real[ends[1:]] - real[ends[:-1]]
-    padding = (lengths == 0) & (np.diff(ends) > 1)  # a document of nothing but padding is none
-    return n, len(ends), int(real[ends[0]]), n - int(real[ends[-1]]), (ends[:-1] + 1).tolist(), np.where(padding, -1, lengths).tolist()
+    full = (lengths > 0) | (np.diff(ends) == 1)  # a document of nothing but padding is none
+    return (
+        len(ends), int(last) + 1, int(real[first]), n - int(real[last]), int(pads[first]), p - int(pads[last]),
+        (ends[:-1][full] + 1).tolist(), lengths[full].tolist())
 
 
 def token_counts(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES, end: int = END, pad: int = PAD) -> DataFrame:
@@ -83,7 +88,9 @@ def token_counts(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES,
     nor does a document of nothing but padding; files must hold whole blocks; without files
     the result is empty.
     """
-    schema = "part int, seq bigint, block bigint, tokens bigint, ends bigint, head bigint, tail bigint, opens bigint, starts array<bigint>, lengths array<bigint>, pads boolean"
+    schema = (
+        "part int, seq bigint, block bigint, ends bigint, opens bigint, head bigint, tail bigint, head_pads bigint, tail_pads bigint, "
+        "starts array<bigint>, lengths array<bigint>")
     files = [r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect()]  # names only
     if not files:
         return spark.createDataFrame([], "file_no bigint, start bigint, n_tokens bigint")
@@ -94,12 +101,9 @@ def token_counts(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES,
 
     def scan(part, records):
         for seq, (block, data) in enumerate(records):
-            tokens, ends, head, tail, starts, lengths = scan_block(bytes(data), end, pad)
             base = block * (block_bytes // 2)
-            ids = np.frombuffer(bytes(data), ">u2")
-            last = np.flatnonzero(ids == end)
-            opens = base + int(last[-1]) + 1 if len(last) else -1
-            yield part, seq, block, tokens, ends, head, tail, opens, [base + s for s in starts], lengths, bool((ids == pad).any())
+            ends, opens, *sums, starts, lengths = scan_block(bytes(data), end, pad)
+            yield part, seq, block, ends, base + opens if ends else -1, *sums, [base + s for s in starts], lengths
 
     found = spark.createDataFrame(blocks.mapPartitionsWithIndex(scan), schema)
     return stitched(found)
@@ -115,18 +119,23 @@ def stitched(found: DataFrame) -> DataFrame:
     found = found.withColumn("file_no", F.col("before") + F.col("own") - 1)
 
     upto = Window.partitionBy("file_no").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    run = F.coalesce(F.sum("tail").over(upto), F.lit(0))
-    found = found.withColumn("run", run)
-    found = found.withColumn("base", F.coalesce(F.last(F.when(F.col("ends") > 0, F.col("run")), ignorenulls=True).over(upto), F.lit(0)))
-    found = found.withColumn("opened", F.coalesce(F.last(F.when(F.col("ends") > 0, F.col("opens")), ignorenulls=True).over(upto), F.lit(0)))
-    found = found.withColumn("carry", F.col("run") - F.col("base"))
+    ended = F.col("ends") > 0
+
+    def since_last_end(name: str):
+        """Sum over the blocks before, from the tail of the last block with an end on."""
+        return F.col(f"run_{name}") - F.coalesce(F.last(F.when(ended, F.col(f"run_{name}")), ignorenulls=True).over(upto), F.lit(0))
+
+    for name in ("tail", "tail_pads"):
+        found = found.withColumn(f"run_{name}", F.coalesce(F.sum(name).over(upto), F.lit(0)))
+    found = found.withColumn("carry", since_last_end("tail")).withColumn("carry_pads", since_last_end("tail_pads"))
+    found = found.withColumn("opened", F.coalesce(F.last(F.when(ended, F.col("opens")), ignorenulls=True).over(upto), F.lit(0)))
     found = found.withColumn("last", F.row_number().over(Window.partitionBy("file_no").orderBy(F.desc("block"))) == 1)
     inner = found.select("file_no", F.explode(F.arrays_zip("starts", "lengths")).alias("d")).select(
-        "file_no", F.col("d.starts").alias("start"), F.col("d.lengths").alias("n_tokens")).filter("n_tokens >= 0")
-    span = F.when(F.col("ends") > 0, F.col("carry") + F.col("head"))
-    first = found.filter("ends > 0").select("file_no", F.col("opened").alias("start"), span.alias("n_tokens"), "pads", "block", "ends")
-    first = first.filter("NOT (pads AND n_tokens = 0)").select("file_no", "start", "n_tokens")
-    rest = F.when(F.col("ends") > 0, F.col("tail")).otherwise(F.col("carry") + F.col("tail"))
+        "file_no", F.col("d.starts").alias("start"), F.col("d.lengths").alias("n_tokens"))
+    first = found.filter(ended).select(
+        "file_no", F.col("opened").alias("start"), (F.col("carry") + F.col("head")).alias("n_tokens"), (F.col("carry_pads") + F.col("head_pads")).alias("pads"))
+    first = first.filter("n_tokens > 0 OR pads = 0").drop("pads")
     open_ = found.filter("last").select(
-        "file_no", F.when(F.col("ends") > 0, F.col("opens")).otherwise(F.col("opened")).alias("start"), rest.alias("n_tokens")).filter("n_tokens > 0")
+        "file_no", F.when(ended, F.col("opens")).otherwise(F.col("opened")).alias("start"),
+        F.when(ended, F.col("tail")).otherwise(F.col("carry") + F.col("tail")).alias("n_tokens")).filter("n_tokens > 0")
     return inner.unionByName(first).unionByName(open_)

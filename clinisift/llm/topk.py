@@ -51,7 +51,7 @@ def pivot_table(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
                 at += d
                 norms[k] = x @ x
                 p = chosen.get(d)
-                dists.append(np.sqrt(((np.array(p, np.float64).reshape(-1, d) - x) ** 2).sum(axis=1)) if p else np.empty(0))
+                dists.append(np.sqrt(((np.array(p, np.float64).reshape(len(p), d) - x) ** 2).sum(axis=1)) if p else np.empty(0))
             yield pa.RecordBatch.from_arrays(
                 [ids, b.column(1), b.column(2), pa.array(norms), pa.array(dists, pa.list_(pa.float64()))], ["id", "v", "dim", "norm2", "dist"])
 

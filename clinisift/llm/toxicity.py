@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ class SeverityModel:
     features: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
+    reject: float = 0.5
 
     def at_least(self, eta: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ... by row."""
@@ -46,7 +47,7 @@ def _distinct_words(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [np.unique(w).view(np.int64) for _, w in row_words(b.column(1))]
+            words = [np.unique(w).view(np.int64) for _, w in row_words(b.column(1), letters=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.list_(pa.int64()))], ["label", "words"])
 
     return docs.mapInArrow(run, "label int, words array<bigint>")
@@ -93,12 +94,24 @@ def fit_rows(labels: np.ndarray, row: np.ndarray, word: np.ndarray, grades: int
     hits = np.bincount(r, minlength=len(labels))
     grade = np.where(toxic, np.clip(np.floor(np.log2(hits + 1)), 1, grades - 1), 0).astype(int)
     weights, thresholds = _cumulative_link(r, c, int(keep.sum()), grade, grades)
-    return SeverityModel(names[keep], weights, thresholds)
+    model = SeverityModel(names[keep], weights, thresholds)
+    p = model.at_least(np.bincount(r, weights=weights[c], minlength=len(labels)))[:, 0]
+    return replace(model, reject=_cutoff(p, toxic))
+
+
+def _cutoff(p: np.ndarray, toxic: np.ndarray, alarm: float = 2.0) -> float:
+    """The probability that parts the rows with the fewest misses plus ``alarm`` times the false alarms."""
+    order = np.argsort(p, kind="stable")
+    q = p[order]
+    cost = np.r_[0, np.cumsum(toxic[order])] + alarm * ((~toxic).sum() - np.r_[0, np.cumsum(~toxic[order])])
+    edge = np.r_[True, q[1:] > q[:-1], True]  # cuts between different values only
+    k = np.flatnonzero(edge & (cost == cost[edge].min()))[-1]
+    return float((q[k - 1] + q[k]) / 2) if 0 < k < len(q) else float(q[-1] + 1e-9) if k else float(q[0])
 
 
 def _cumulative_link(
     row: np.ndarray, feature: np.ndarray, f: int, grade: np.ndarray, grades: int,
-    steps: int = 600, rate: float = 0.05, penalty: float = 1.0,
+    steps: int = 1500, rate: float = 0.1, penalty: float = 0.1,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of the proportional-odds model by Adam on the mean penalised
     likelihood; (row, feature) lists the features that are present."""
@@ -121,7 +134,7 @@ def _cumulative_link(
         g_w = np.bincount(feature, weights=g_eta[row], minlength=f)
         g = np.r_[g_w + penalty / n * w, g_theta.sum(), np.cumsum(g_theta[::-1])[::-1][1:] * wide]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        p = p - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
+        p = p - rate * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     return p[:f], np.r_[p[f], p[f] + np.cumsum(np.exp(np.clip(p[f + 1:], -20, 5)))]
 
 
@@ -137,12 +150,12 @@ def score(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             eta = np.zeros(b.num_rows)
-            for k, words in row_words(b.column(b.num_columns - 1)):
+            for k, words in row_words(b.column(b.num_columns - 1), letters=True):
                 eta[k] = model.weights[_present(model.features, words)].sum()
             p = model.at_least(eta)
             each = -np.diff(np.c_[np.ones(len(p)), p, np.zeros(len(p))], axis=1)
             result = pa.StructArray.from_arrays(
-                [pa.array(p.sum(axis=1)), pa.array(p[:, 0]), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(p[:, 0] >= 0.5)],
+                [pa.array(p.sum(axis=1)), pa.array(p[:, 0]), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(p[:, 0] >= model.reject)],
                 ["severity", "p_toxic", "grade", "toxic"])
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], result], [*b.schema.names[:-1], "toxicity"])
 
@@ -153,7 +166,9 @@ def score(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", text_co
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Per row of ``docs``: doc_id, severity, p_toxic, grade, toxic (rejected: a grade above 0 is the likelier).
+    """Per row of ``docs``: doc_id, severity, p_toxic, grade, toxic (rejected: P(grade > 0) is above the
+    cutoff that parts the labelled rows best, a false alarm counting as two misses). Words are
+    runs of letters, so that symbols stuck to a word do not hide it.
 
     Defined cases: null and empty texts score as texts without any feature; labels of null
     ids, null labels and labels without a row are left out; without labels of both kinds no

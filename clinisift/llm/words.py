@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: UTF-8 bytes of text that are worked on at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _rng = np.random.default_rng(20240229)
 _LETTER = _rng.integers(1, 2**64, 256, dtype=np.uint64)
 _LETTER[ord("A"):ord("Z") + 1] = _LETTER[ord("a"):ord("z") + 1]
@@ -41,15 +41,21 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def separators(data: np.ndarray) -> np.ndarray:
-    return (data == 0x20) | ((data >= 9) & (data <= 13))
+_SPACE, _OTHER = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[0x20, *range(9, 14)]] = True
+_OTHER[:128] = [not chr(b).isalpha() for b in range(128)]
 
 
-def word_hashes(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def separators(data: np.ndarray, letters: bool = False) -> np.ndarray:
+    """Bytes between words: white space, or with ``letters`` every ASCII byte that is no letter."""
+    return (_OTHER if letters else _SPACE)[data]
+
+
+def word_hashes(data: np.ndarray, breaks: np.ndarray, letters: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of each word in UTF-8 bytes, A-Z as a-z; no word crosses a place in ``breaks``."""
     if not len(data):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    inside = ~separators(data)
+    inside = ~separators(data, letters)
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     breaks = breaks[(breaks > 0) & (breaks < len(data))]
@@ -81,20 +87,20 @@ def chunks(limits: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         start = end
 
 
-def row_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+def row_words(column: pa.Array, letters: bool = False) -> Iterator[tuple[int, np.ndarray]]:
     """Row number and word hashes, in order, of each text of a string column."""
     data, limits = texts_of(column)
     for start, end in chunks(limits):
         at, stop = limits[start], limits[end]
         if end == start + 1 and stop - at > CHUNK_BYTES:
-            yield start, np.concatenate([*_long_words(data[at:stop])])
+            yield start, np.concatenate([*_long_words(data[at:stop], letters)])
             continue
-        hashes, places = word_hashes(data[at:stop], limits[start:end] - at)
+        hashes, places = word_hashes(data[at:stop], limits[start:end] - at, letters)
         cuts = np.searchsorted(places, limits[start + 1:end] - at)
         yield from enumerate(np.split(hashes, cuts), start)
 
 
-def _long_words(data: np.ndarray) -> Iterator[np.ndarray]:
+def _long_words(data: np.ndarray, letters: bool) -> Iterator[np.ndarray]:
     """Hashes of a long text, read in pieces that end at separators."""
     at = 0
     while at < len(data):
@@ -110,5 +116,5 @@ def _long_words(data: np.ndarray) -> Iterator[np.ndarray]:
                     end = wide
             if len(found) and end < len(data):
                 end = at + int(found[-1]) + 1
-        yield word_hashes(data[at:end], np.empty(0, np.int64))[0]
+        yield word_hashes(data[at:end], np.empty(0, np.int64), letters)[0]
         at = end

@@ -61,9 +61,10 @@ def pivot_table(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
 
 
 def _matrix(column, dim: int, kind) -> np.ndarray:
+    rows = len(column)
     column = column.combine_chunks()
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(rows, dim)
 
 
 def best_of_block(queries: pa.Table, data: pa.Table, k: int) -> pa.Table:

@@ -222,10 +222,14 @@ def links(found: DataFrame) -> tuple[DataFrame, DataFrame]:
             .otherwise(F.col("label")).alias("label"))
         label = materialize(label, "near-labels")
 
-    several = labelled.groupBy("token", "lab").agg(F.count(F.lit(1)).alias("m"))
-    tokens = several.groupBy("token").agg(F.count(F.lit(1)).alias("labels")).filter("labels > 1").select("token")
-    several = several.join(tokens, "token").select("token", "lab")
-    meet = several.toDF("token", "lab_a").join(several.toDF("token", "lab_b"), "token").filter("lab_a < lab_b")
+    # Labels of a shingle meet only if their sizes and places leave room for a link.
+    several = labelled.groupBy("token", "lab").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+    one, two = (several.toDF("token", *(f"{c}_{x}" for c in ("lab", "least", "most", "rest"))) for x in "ab")
+    room = (
+        "lab_a < lab_b AND 100 * most_a >= {p} * least_b AND 100 * most_b >= {p} * least_a "
+        "AND (100 + {p}) * least(rest_a, rest_b) >= {p} * (least_a + least_b)").format(p=PERCENT)
+    meet = one.join(two, "token").filter(room).select("token", "lab_a", "lab_b")
     side_a, side_b = (labelled.select("token", F.col("lab").alias(f"lab_{x}"), F.col("gid").alias(f"g{x}"), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}")) for x in "ab")
     cross = meet.join(side_a, ["token", "lab_a"]).join(side_b, ["token", "lab_b"]).filter(_may("na", "pa", "nb", "pb")).select("ga", "gb").distinct()
     inner = groups.filter("members > 1").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))

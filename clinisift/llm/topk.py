@@ -127,7 +127,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, block_queries: int = B
 
     Defined cases: vectors that are null or hold null or non-finite components, and null ids,
     take no part; only vectors of the same dimension meet; a query with fewer than k others
-    gets them all; repeated ids are candidates each, never of a query with that id; without
+    gets them all; repeated ids are candidates each, never of a query with that id, and one query; without
     queries or rows the result is empty.
     """
     queries = table.filter(is_query).select("id", "v", "dim", "norm2", "dist", "block")

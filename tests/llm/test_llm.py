@@ -449,7 +449,7 @@ def test_words_do_not_depend_on_blocks(monkeypatch):
 def test_topk(spark):
     rng = np.random.default_rng(9)
     rows = [(i, [float(x) for x in rng.integers(-2, 3, 8) / 4]) for i in range(400)]
-    rows += [(400, None), (450, [None] * 8), (500, [float("nan")] * 8), (550, [float("inf")] + [0.0] * 7), (600, [1.0, 2.0]), (601, [1.0, 2.0]), (None, [0.0] * 8), (50, rows[50][1]), (650, [])]
+    rows += [(400, None), (450, [None] * 8), (500, [float("nan")] * 8), (550, [float("inf")] + [0.0] * 7), (600, [1.0, 2.0]), (601, [1.0, 2.0]), (None, [0.0] * 8), (51, rows[51][1]), (650, [])]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, block int, dim int")
     good = [(i, np.floor(256 * np.array(v, float)).astype(int)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = collections.Counter()

@@ -17,7 +17,6 @@ from ..functions.numbers import rounded
 from ..session import join_hot_split, materialize
 
 MIN_LEN = 3
-MAX_CHARS = 10_000
 
 
 def _by_document(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
@@ -43,7 +42,7 @@ def pick_sentences(sentences: Column, positions: Column) -> Column:
     """Sentences at the positions, in order. One walk over the sentences: looked up inside a
     function of the positions, the text would be split again for each of them."""
     picked = F.filter(sentences, lambda s, i: F.array_contains(positions, i))
-    return F.left(F.array_join(F.transform(picked, lambda s: F.trim(s)), " "), F.lit(MAX_CHARS))
+    return F.array_join(F.transform(picked, lambda s: F.trim(s)), " ")
 
 
 def summarize(df: DataFrame, n: int = 3, id_col: str = "id", col: str = "text") -> DataFrame:
@@ -62,10 +61,10 @@ def marked_sentences(text: Column, terms: list[str]) -> Column:
 
 
 def insight_text(summary: Column, text: Column, urgent: list[str], follow_up: list[str]) -> Column:
-    return F.left(F.concat(
+    return F.concat(
         F.lit("INSIGHTS: "), F.coalesce(summary, F.lit("")),
         F.lit("\nURGENT: "), F.coalesce(marked_sentences(text, urgent), F.lit("")),
-        F.lit("\nFOLLOW-UP: "), F.coalesce(marked_sentences(text, follow_up), F.lit(""))), F.lit(MAX_CHARS))
+        F.lit("\nFOLLOW-UP: "), F.coalesce(marked_sentences(text, follow_up), F.lit("")))
 
 
 def key_insights(df: DataFrame, urgent=LX.URGENT_TERMS, follow_up=LX.FOLLOW_UP_TERMS,
@@ -101,7 +100,7 @@ def summarize_agg(df: DataFrame, group: str, n: int = 3, id_col: str = "id", col
         group, id_col, "pos", F.trim(F.element_at(X.sentence_array(F.col(col)), F.col("pos") + 1)).alias("sentence"))
     picked = F.array_sort(F.collect_list(F.struct(id_col, "pos", "sentence")))
     return chosen.groupBy(group).agg(
-        F.left(F.array_join(F.transform(picked, lambda s: s["sentence"]), " "), F.lit(MAX_CHARS)).alias("summary"))
+        F.array_join(F.transform(picked, lambda s: s["sentence"]), " ").alias("summary"))
 
 
 def soap_notes(segments: DataFrame, sections: dict[str, str] = LX.NOTE_SECTIONS, clinician: str = "assistant",
@@ -126,4 +125,4 @@ def soap_notes(segments: DataFrame, sections: dict[str, str] = LX.NOTE_SECTIONS,
     notes = parts.groupBy("id", "section").agg(joined.alias("note"))
     one = notes.groupBy("id").agg(*[F.max(F.when(F.col("section") == s, F.col("note"))).alias(s.lower()) for s in sections])
     text = F.concat_ws("\n", *[F.concat(F.lit(f"{s}: "), F.col(s.lower())) for s in sections])
-    return one.select("id", F.left(text, F.lit(MAX_CHARS)).alias("consultation_notes"))
+    return one.select("id", text.alias("consultation_notes"))

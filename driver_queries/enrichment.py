@@ -189,7 +189,7 @@ def group_summary_sql(src: str, group: str) -> str:
         f"""gb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY score DESC, id, pos) AS rk FROM (
           SELECT {group}, id, pos, {rnd('CAST(sum(tf) AS DOUBLE) / count(*)', 9)} AS score FROM gt JOIN gf USING ({group}, term) GROUP BY 1, 2, 3))
           WHERE rk <= 3)""",
-        q=f"""SELECT {group}, left(string_agg(trim(sentence), ' ' ORDER BY id, pos), 10000) AS summary
+        q=f"""SELECT {group}, string_agg(trim(sentence), ' ' ORDER BY id, pos) AS summary
           FROM gb JOIN gs USING ({group}, id, pos) GROUP BY 1""")
 
 
@@ -208,8 +208,8 @@ def soap_sql(src: str) -> list[str]:
         f"""soap_s AS (SELECT id, turn, text, CASE {whens} WHEN role = 'assistant' THEN 'Assessment' ELSE 'Subjective' END AS section
           FROM (SELECT *, greatest({', '.join('n_' + k for k in n)}) AS m FROM soap_n))""",
         "soap_j AS (SELECT id, section, string_agg(text, ' ' ORDER BY turn, text) AS note FROM soap_s GROUP BY 1, 2)",
-        "soap AS (SELECT id, left(concat_ws(chr(10), " + ", ".join(
-            f"'{k}: ' || max(note) FILTER (section = '{k}')" for k in V.SECTIONS) + "), 10000) AS consultation_notes FROM soap_j GROUP BY 1)",
+        "soap AS (SELECT id, concat_ws(chr(10), " + ", ".join(
+            f"'{k}: ' || max(note) FILTER (section = '{k}')" for k in V.SECTIONS) + ") AS consultation_notes FROM soap_j GROUP BY 1)",
     ]
 
 

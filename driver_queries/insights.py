@@ -315,9 +315,9 @@ add("notes_for_category", _notes_for_category, _notes_sql())
 
 
 def _records(s, d):
-    """Extracted names of all records; every seventh file name lost a letter in extraction."""
+    """Extracted names of all records; every seventh file name lost a letter in extraction, some the first one."""
     ins = insights(s, d).select(F.concat_ws("-", "source_type", "record_id").alias("record_id"), "patient_name", F.col("record_id").alias("n"))
-    return ins.select("record_id", F.when(F.col("n") % 7 == 0, F.replace("patient_name", F.lit("Customer"), F.lit("Custmer")))
+    return ins.select("record_id", F.when(F.col("n") % 7 == 0, F.replace("patient_name", F.lit("Customer"), F.when(F.col("n") % 2 == 0, "Kustmer").otherwise("Custmer")))
                       .otherwise(F.concat(F.lit("Mr. "), "patient_name")).alias("name"))
 
 
@@ -325,25 +325,35 @@ def master(s, d):
     return B.table(s, d, "customer").select(F.col("c_name").alias("name"), F.col("c_custkey").alias("patient_id"))
 
 
-add("resolve_patient", lambda s, d: K.resolve_patient(_records(s, d), master(s, d)),
-    isql("""SELECT record_id, patient_id, distance FROM (SELECT r.record_id, c.c_custkey AS patient_id,
-        CASE WHEN c.c_custkey IS NOT NULL THEN levenshtein(r.nm, replace(lower(c.c_name), '#', ' ')) END AS distance,
-        row_number() OVER (PARTITION BY r.record_id ORDER BY levenshtein(r.nm, replace(lower(c.c_name), '#', ' ')), c.c_custkey) AS rk
-      FROM rec r LEFT JOIN customer c ON (r.exact AND r.nm = replace(lower(c.c_name), '#', ' '))
-        OR (NOT r.exact AND levenshtein(r.nm, replace(lower(c.c_name), '#', ' ')) <= 2)) WHERE rk = 1""",
-         """rec AS (SELECT source_type || '-' || record_id AS record_id, record_id % 7 <> 0 AS exact,
-           replace(lower(CASE WHEN record_id % 7 = 0 THEN replace(patient_name, 'Customer', 'Custmer') ELSE patient_name END), '#', ' ') AS nm FROM insights)"""))
+def _people(s, d):
+    """The customers, one name of them borne by two."""
+    m = master(s, d)
+    return m.unionByName(m.filter(F.col("patient_id") == 9).select("name", F.lit(9_000_009).cast("long").alias("patient_id")))
+
+
+add("resolve_patient", lambda s, d: K.resolve_patient(_records(s, d), _people(s, d)),
+    isql("""SELECT record_id, CASE WHEN count(patient_id) FILTER (distance = best) = 1 THEN min(patient_id) FILTER (distance = best) END AS patient_id,
+        best AS distance, count(patient_id) FILTER (distance = best) AS n_candidates
+      FROM (SELECT r.record_id, c.patient_id, c.distance, min(c.distance) OVER (PARTITION BY r.record_id) AS best
+        FROM rec r LEFT JOIN near c ON r.nm = c.nm) GROUP BY record_id, best""",
+         """rec AS (SELECT source_type || '-' || record_id AS record_id,
+           replace(lower(CASE WHEN record_id % 7 = 0 THEN replace(patient_name, 'Customer', CASE WHEN record_id % 2 = 0 THEN 'Kustmer' ELSE 'Custmer' END) ELSE patient_name END), '#', ' ') AS nm FROM insights)""",
+         """people AS (SELECT c_custkey AS patient_id, replace(lower(c_name), '#', ' ') AS m FROM customer
+           UNION ALL SELECT 9000009, replace(lower(c_name), '#', ' ') FROM customer WHERE c_custkey = 9)""",
+         """hit AS (SELECT DISTINCT nm FROM rec JOIN people ON nm = m)""",
+         """near AS (SELECT nm, patient_id, CAST(0 AS BIGINT) AS distance FROM hit JOIN people ON nm = m
+           UNION ALL SELECT nm, patient_id, levenshtein(nm, m) FROM (SELECT DISTINCT nm FROM rec WHERE nm NOT IN (SELECT nm FROM hit)) JOIN people ON levenshtein(nm, m) <= 2)"""))
 
 
 def _recordings(s, d):
     c = F.col("conv_id")
     return B.table(s, d, "conversations").select(c).distinct().select(
-        c.alias("recording_id"), (c % 150).alias("patient_id"), (c % 10).alias("provider_id"),
+        c.alias("recording_id"), F.when(c % 37 != 5, c % 150).alias("patient_id"), (c % 10).alias("provider_id"),
         F.timestamp_seconds(F.lit(1704067200 + 43200) + (c % 30) * 86400).cast("timestamp_ntz").alias("recorded_at"))
 
 
 add("visit_recording_link", lambda s, d: K.visit_recording_link(_recordings(s, d), B.appointments(s, d)),
-    """WITH r AS (SELECT DISTINCT conv_id AS recording_id, conv_id % 150 AS patient_id, conv_id % 10 AS provider_id,
+    """WITH r AS (SELECT DISTINCT conv_id AS recording_id, CASE WHEN conv_id % 37 <> 5 THEN conv_id % 150 END AS patient_id, conv_id % 10 AS provider_id,
         TIMESTAMP '2024-01-01 12:00:00' + to_days(CAST(conv_id % 30 AS INTEGER)) AS recorded_at FROM conversations)
       SELECT recording_id, patient_id, provider_id, recorded_at, (SELECT event_id FROM events e WHERE e.user_id = r.patient_id
         AND e.event_id % 10 = r.provider_id AND e.ts <= r.recorded_at ORDER BY ts DESC, event_id DESC LIMIT 1) AS appointment_id FROM r""")
@@ -352,7 +362,7 @@ add("visit_recording_link", lambda s, d: K.visit_recording_link(_recordings(s, d
 def _p360(s, d):
     ins = insights(s, d)
     recs = ins.select(F.concat_ws("-", "source_type", "record_id").alias("record_id"), F.col("patient_name").alias("name"))
-    linked = K.resolve_patient(recs, master(s, d))
+    linked = K.resolve_patient(recs, master(s, d)).filter(F.col("patient_id").isNotNull())
     links = linked.select(F.split_part("record_id", F.lit("-"), F.lit(1)).alias("source_type"),
                           F.split_part("record_id", F.lit("-"), F.lit(2)).cast("long").alias("record_id"), "patient_id")
     return Q.patient_360(ins, links, B.claims(s, d), B.appointments(s, d))

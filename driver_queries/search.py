@@ -47,8 +47,9 @@ def lexical_ctes(src: str, out: str, qsrc: str) -> list[str]:
     ]
 
 
-def ranked(src: str, k: int, cols: str = "query_id, id, score") -> str:
-    return (f"SELECT * FROM (SELECT {cols}, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM {src}) WHERE rank <= {k}")
+def ranked(src: str, k: int | None = None, cols: str = "query_id, id, score") -> str:
+    rows = f"SELECT {cols}, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM {src}"
+    return f"SELECT * FROM ({rows}) WHERE rank <= {k}" if k else rows
 
 
 ONE = values([(0, VO.QUESTION)], "query_id, query", "qs")
@@ -86,7 +87,7 @@ add("search_vector", lambda s, d: R.search_vector(doc_index(s, d), one(s), 10),
     with_(DOCS, TOK, ONE, *vector_ctes("docs", "v"), *qvec_ctes("y", "v", "qs"), q=ranked("y", 10)))
 add("search_hybrid", lambda s, d: R.search_hybrid(doc_index(s, d), one(s), 10),
     with_(DOCS, TOK, ONE, *vector_ctes("docs", "v"), *qvec_ctes("y", "v", "qs"), *lexical_ctes("docs", "x", "qs"),
-          f"lists AS ({ranked('x', 100)} UNION ALL {ranked('y', 100)})",
+          f"lists AS ({ranked('x')} UNION ALL {ranked('y')})",
           f"fused AS (SELECT query_id, id, {rnd('sum(1.0::DOUBLE / (60 + rank))', 6)} AS score FROM lists GROUP BY 1, 2)",
           q=ranked("fused", 10)))
 
@@ -97,6 +98,18 @@ def _filtered(s, d):
                              ["lang", "source", "n_chars"], 5)
 
 
+def _filtered_hybrid(s, d):
+    corpus = B.table(s, d, "documents").select(F.col("doc_id").alias("id"), "lang", "source", "n_chars")
+    return R.search_filtered(doc_index(s, d), corpus, one(s), {"lang": ["de", "es"]}, ["lang"], 20, hybrid=True)
+
+
+add("search_filtered_hybrid", _filtered_hybrid,
+    with_(DOCS, TOK, ONE, *vector_ctes("docs", "v"), *qvec_ctes("y", "v", "qs"), *lexical_ctes("docs", "x", "qs"),
+          "ok AS (SELECT doc_id AS id, lang FROM documents WHERE lang IN ('de', 'es'))",
+          "xf AS (SELECT x.* FROM x JOIN ok USING (id))", "yf AS (SELECT y.* FROM y JOIN ok USING (id))",
+          f"lists AS ({ranked('xf')} UNION ALL {ranked('yf')})",
+          f"fused AS (SELECT query_id, id, {rnd('sum(1.0::DOUBLE / (60 + rank))', 6)} AS score FROM lists GROUP BY 1, 2)",
+          q=f"SELECT r.*, lang FROM ({ranked('fused', 20)}) r JOIN ok USING (id)"))
 add("search_filtered", _filtered,
     with_(DOCS, TOK, ONE, *lexical_ctes("docs", "x", "qs"),
           """f AS (SELECT x.* FROM x JOIN documents ON doc_id = id WHERE lang IN ('en', 'fr') AND source IN ('src1', 'src2', 'src5', 'src7'))""",

@@ -114,7 +114,7 @@ def top_sentences(src: str, out: str, n: int = 3) -> list[str]:
         f"""{out}_b AS (SELECT id, pos FROM (SELECT id, pos, row_number() OVER (PARTITION BY id ORDER BY score DESC, pos) AS rk FROM (
           SELECT id, pos, {rnd('CAST(sum(tf) AS DOUBLE) / count(*)', 9)} AS score FROM {out}_t JOIN {out}_f USING (id, term) GROUP BY 1, 2))
           WHERE rk <= {n})""",
-        f"""{out} AS (SELECT id, left(string_agg(trim(sentence), ' ' ORDER BY pos), 10000) AS summary
+        f"""{out} AS (SELECT id, string_agg(trim(sentence), ' ' ORDER BY pos) AS summary
           FROM {out}_b JOIN {out}_s USING (id, pos) GROUP BY 1)""",
     ]
 
@@ -126,8 +126,8 @@ def marked(text: str, terms: list[str]) -> str:
 
 
 def insights(summary: str, text: str, urgent, follow) -> str:
-    return (f"left('INSIGHTS: ' || coalesce({summary}, '') || chr(10) || 'URGENT: ' || coalesce({marked(text, urgent)}, '') || chr(10) || "
-            f"'FOLLOW-UP: ' || coalesce({marked(text, follow)}, ''), 10000)")
+    return (f"('INSIGHTS: ' || coalesce({summary}, '') || chr(10) || 'URGENT: ' || coalesce({marked(text, urgent)}, '') || chr(10) || "
+            f"'FOLLOW-UP: ' || coalesce({marked(text, follow)}, ''))")
 
 
 def first_field(text: str, pattern: str) -> str:

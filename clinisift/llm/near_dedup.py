@@ -22,7 +22,7 @@ from .words import mixed, row_words
 #: Words in a shingle; shingles two documents must share, in hundredths of their union.
 WORDS, PERCENT = 5, 80
 #: UTF-8 bytes of text in one block, at most on average.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 #: Frequencies are counted under so many bits of a shingle's hash: it only orders shingles.
 SHORT = np.uint64(16)
 #: Star rounds go on while more than so many pairs per posting are left to test.
@@ -203,7 +203,7 @@ def links(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         left = spread.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.sum("m")).first()
         if round_ and (left[0] or 0) <= PAIRS_PER_POSTING * (left[1] or 0):
             break
-        rank = F.struct("alone", "gid") if not round_ else F.struct(F.xxhash64(F.lit(round_), "gid").cast("int"), F.col("gid"))
+        rank = F.struct("alone", "gid") if not round_ else F.struct(F.xxhash64(F.lit(round_), "gid"), F.col("gid"))
         pivot = labelled.groupBy("token").agg(
             F.min(F.struct(rank.alias("rank"), F.col("gid"), F.col("n"), F.col("pos"))).alias("p"),
             F.count_distinct("lab").alias("labels")).filter("labels > 1").select(

@@ -88,6 +88,5 @@ def enrich_document(files: DataFrame, modality: str, vocab: Vocabulary, processe
         if modality == "PDF":
             out = out.withColumn("has_layout", F.col("_blocks") > 0).drop("_blocks")
     if embeddings:
-        vecs = V.dense(V.embed(base.select("id", "text")))
-        out = out.join(vecs, "id", "left")
+        out = out.withColumn("embedding", V.text_vector(text))
     return out.withColumnsRenamed(names).withColumn("processed_at", processed_at.cast("timestamp_ntz"))

@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -64,6 +64,28 @@ def embed_counts(counts: DataFrame, id_col: str = "id") -> DataFrame:
     return raw.select(id_col, "bucket", (F.col("w") / norm).alias("w"))
 
 
+def text_vector(text: Column) -> Column:
+    """Unit vector of a text's word counts in hashed buckets, NULL without words.
+
+    It depends on the text alone, so vectors of different batches can be compared; corpus
+    weights belong to a search index (:func:`embed_counts`), where they are known.
+    """
+
+    @F.pandas_udf("array<float>")
+    def spread(buckets: pd.Series) -> pd.Series:
+        out = []
+        for b in buckets:
+            if b is None or not len(b):
+                out.append(None)
+                continue
+            v = np.bincount(np.asarray(b, dtype=np.int64), minlength=DIM).astype(np.float64)
+            out.append((v / np.sqrt(v @ v)).astype(np.float32))
+        return pd.Series(out)
+
+    words = F.filter(X.token_array(text), lambda t: t != "")
+    return spread(F.transform(words, bucket))
+
+
 def dense(sparse: DataFrame, id_col: str = "id", dim: int = DIM) -> DataFrame:
     """One array<float> per document; at most ``dim`` rows make one."""
 

@@ -32,10 +32,13 @@ def build_session(master: str | None = None, app: str = "clinisift", **conf) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a laptop) a temporary folder stands in for it.
+    Only where that is unset on a local master (tests, a laptop) a temporary folder stands in
+    for it; on a cluster every machine would write to its own disk, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         path = tempfile.mkdtemp(prefix="clinisift-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -48,6 +51,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder this library has written."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as Parquet and go on from the written table.
 

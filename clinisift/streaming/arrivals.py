@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from ..sources.landing import FILE_SCHEMA, base_name
 
 
-def arrivals_stream(spark: SparkSession, roots: dict[str, str], content: bool = False) -> DataFrame:
-    """Append-only stream of new files of all locations. What was read is kept in the
-    checkpoint of the query that consumes it."""
+def arrivals_stream(spark: SparkSession, roots: dict[str, str], content: bool = False, max_files: int = 10_000) -> DataFrame:
+    """Append-only stream of new files of all locations, at most ``max_files`` of a location in
+    one batch (the others come in the next). What was read is kept in the checkpoint of the
+    query that consumes it."""
     cols = [F.col("path").alias("file_path"), "length", F.col("modificationTime").alias("event_time")]
 
     def one(location, root):
-        s = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true").load(root))
+        s = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", max_files).load(root))
         return s.select(F.lit(location).alias("location"), base_name(F.col("path")).alias("file_name"), *cols, *(["content"] if content else []))
 
     return reduce(DataFrame.unionByName, [one(m, r) for m, r in roots.items()])
@@ -43,9 +45,10 @@ def windowed_counts(events: DataFrame, key: str, ts: str = "event_time", window:
 
 
 def arrivals_windowed(stream: DataFrame, key: str, out: str, checkpoint: str, ts: str = "event_time", window: str = "1 minute",
-                      delay: str = "1 hour") -> DataFrame:
+                      delay: str = "1 hour", audit: str | None = None) -> DataFrame:
     """Per-window counts kept up to date: each batch appends the windows it changed, and a
-    reader takes the newest count of every window. Returns that table."""
+    reader takes the newest count of every window. Returns that table. How many rows came
+    behind the watermark, and so are in no window, is appended to ``audit`` (run_id, late_rows)."""
     counts = windowed_counts(stream.withWatermark(ts, delay), key, ts, window)
 
     def append(batch: DataFrame, batch_id: int) -> None:
@@ -55,6 +58,8 @@ def arrivals_windowed(stream: DataFrame, key: str, out: str, checkpoint: str, ts
     q = (counts.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if audit:
+        stream.sparkSession.createDataFrame([(str(q.runId), late_rows(q))], "run_id string, late_rows long").write.mode("append").parquet(audit)
     rows = stream.sparkSession.read.schema(counts.schema.add("batch_id", "long")).parquet(out)
     newest = W.partitionBy("window_start", key).orderBy(F.desc("batch_id"))
     return rows.withColumn("rk", F.row_number().over(newest)).filter(F.col("rk") == 1).select("window_start", key, "n")

@@ -2,7 +2,8 @@
 
 Every output of a batch goes to its own ``batch_id`` partition and is overwritten when the
 batch runs again, so a crash at any point neither loses nor doubles rows. The ledger is
-written last, with the ids the batch handled.
+written last, with the ids the batch handled. A file handled again later has rows of two
+batches; :func:`read_intelligence` gives the newest.
 """
 
 from __future__ import annotations
@@ -13,16 +14,18 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import enrich as E
-from ..session import materialize
+from ..session import fresh_path, materialize, remove
 from ..sources import filelog as L
 
-LOG = "file_id long, file_name string, file_path string, file_type string, event_time timestamp_ntz, batch_id long"
+LOG = "file_id long, file_name string, file_path string, file_type string, event_time timestamp_ntz, landed_at timestamp_ntz, batch_id long"
 LEDGER = "file_id long, processed_at timestamp_ntz, batch_id long"
-AUDIT = "modality string, row_count long, status string, error string, ts timestamp_ntz, batch_id long"
+AUDIT = "file_id long, file_name string, modality string, status string, row_count long, error string, ts timestamp_ntz, batch_id long"
 SEGMENT = "turn long, role string, text string"
+IDS = {"PDF": "doc_id", "TXT": "txt_id", "AUDIO": "audio_id"}
 
 
 def write_intelligence(df: DataFrame, path: str, batch_id: int) -> None:
@@ -31,19 +34,32 @@ def write_intelligence(df: DataFrame, path: str, batch_id: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table, empty before its first batch."""
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The table, empty before its first batch (if its schema is given)."""
     try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:  # no batch has been written yet
-        return spark.createDataFrame([], schema)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if schema and e.getCondition() == "PATH_NOT_FOUND":  # no batch has been written yet
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def newest(rows: DataFrame, key: str) -> DataFrame:
+    """Of rows with one key those of the latest batch."""
+    last = F.row_number().over(W.partitionBy(key).orderBy(F.desc("batch_id")))
+    return rows.withColumn("_age", last).filter(F.col("_age") == 1).drop("_age")
+
+
+def read_intelligence(ws: Workspace, spark: SparkSession, modality: str) -> DataFrame:
+    """One current row per file, however often it was handled."""
+    return newest(read_table(spark, ws.table(f"intelligence-{modality.lower()}")), IDS[modality])
 
 
 def parse_content(files: DataFrame, modality: str) -> DataFrame:
     """Contents of landed files in the shape the enrichment of their modality takes.
     Recordings arrive as one JSON line per timed segment."""
-    text = F.decode("content", "UTF-8")
-    text = F.when(text.endswith("\n"), F.expr("left(decode(content, 'UTF-8'), length(decode(content, 'UTF-8')) - 1)")).otherwise(text)
+    text = F.make_valid_utf8(F.col("content").cast("string"))
+    text = F.when(text.endswith("\n"), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text)
     if modality == "AUDIO":
         lines = files.select(F.col("file_id").alias("id"), "file_name", F.explode(F.split(text, "\n")).alias("line"))
         return lines.select("id", "file_name", F.from_json("line", SEGMENT).alias("s")).select("id", "file_name", "s.*")
@@ -59,6 +75,10 @@ class Workspace:
         "PDF": E.DOCUMENT_VOCABULARY, "TXT": E.TEXT_VOCABULARY, "AUDIO": E.CONSULTATION_VOCABULARY})
     processed_at: Callable = F.current_timestamp
     embeddings: bool = True
+    # A file that failed this often is left alone until it is reprocessed by hand.
+    max_attempts: int = 5
+    # Failed files of earlier batches that one batch takes up again, oldest first.
+    retry_files: int = 1000
 
     def table(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -69,43 +89,71 @@ TYPES = {"PDF": ["PDF"], "TXT": ["TXT"], "AUDIO": ["WAV", "MP3"]}
 
 def process_new_files(ws: Workspace, batch: DataFrame, batch_id: int) -> DataFrame:
     """Logs the files of a batch (location, file_name, file_path, event_time, content), enriches
-    each modality, then enters the handled ids in the ledger. Returns counts per modality.
+    each modality, then enters the handled ids in the ledger. Returns the audit rows, one per file.
 
-    A modality that fails is reported in the audit rows and stays pending.
+    Files that failed before are taken up again, ``max_attempts`` times at most. A file that is
+    no UTF-8 text fails by itself; if a modality fails, its files do. Neither stops the others.
     """
     spark = batch.sparkSession
-    files = materialize(batch, "arrived")
+    arrived = fresh_path(spark, "arrived")
+    batch.write.parquet(arrived)
+    files = spark.read.schema(batch.schema).parquet(arrived)
     known = read_table(spark, ws.table("log"), LOG).filter(F.col("batch_id") != batch_id)
     folder = F.create_map(*[F.lit(x) for x in ("PDF", "pdfs/", "TXT", "txt/", "AUDIO", "audio/")])
     meta = files.dropDuplicates(["file_path"]).join(known.select("file_path"), "file_path", "left_anti").select(
         "file_name", F.concat(F.element_at(folder, F.col("location")), "file_name").alias("route"), "file_path",
         F.col("event_time").cast("timestamp_ntz").alias("event_time"))
-    routed = meta.select("file_name", F.col("route").alias("file_path"), "event_time", F.col("file_path").alias("source_path"))
-    log = L.append_files_log(routed.select("file_name", "file_path", "event_time"), known)
-    log = log.join(routed.select(F.col("file_path"), "source_path"), "file_path").select(
-        "file_id", "file_name", F.col("source_path").alias("file_path"), "file_type", "event_time")
+    # The log is numbered by time and place; the place carries the routing folder along.
+    routed = meta.select("file_name", F.concat("route", F.lit("\n"), "file_path").alias("file_path"), "event_time")
+    log = L.append_files_log(routed, known).select(
+        "file_id", "file_name", F.substring_index("file_path", "\n", -1).alias("file_path"),
+        L.route_modality(F.substring_index("file_path", "\n", 1)).alias("file_type"), "event_time", ws.processed_at().cast("timestamp_ntz").alias("landed_at"))
     write_intelligence(log, ws.table("log"), batch_id)
-    log = spark.read.schema(LOG).parquet(ws.table("log")).filter(F.col("batch_id") == batch_id)
-
+    log = spark.read.schema(LOG).parquet(ws.table("log")).filter(F.col("batch_id") == batch_id).drop("batch_id")
+
+    again = retries(ws, spark, batch_id)
+    paths = [r["file_path"] for r in again.select("file_path").collect()]
+    content = files.select("file_path", "content")
+    if paths:
+        content = content.unionByName(spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file_path"), "content"))
+        log = log.unionByName(again)
+    handle(ws, spark, log, content.dropDuplicates(["file_path"]), batch_id)
+    remove(spark, arrived)
+    return read_table(spark, ws.table("audit"), AUDIT).filter(F.col("batch_id") == batch_id)
+
+
+def retries(ws: Workspace, spark: SparkSession, batch_id: int) -> DataFrame:
+    """Pending files of earlier batches that have attempts left."""
+    log = read_table(spark, ws.table("log"), LOG).filter(F.col("batch_id") < batch_id).drop("batch_id")
+    ledger = read_table(spark, ws.table("ledger"), LEDGER).filter(F.col("batch_id") != batch_id)
+    failed = read_table(spark, ws.table("audit"), AUDIT).filter((F.col("status") == "LOAD_FAILED") & (F.col("batch_id") != batch_id))
+    spent = failed.groupBy("file_id").agg(F.count(F.lit(1)).alias("attempts")).filter(F.col("attempts") >= ws.max_attempts)
+    todo = L.pending_files(log, ledger, [t for types in TYPES.values() for t in types]).join(spent.select("file_id"), "file_id", "left_anti")
+    return materialize(todo.orderBy("event_time", "file_id").limit(ws.retry_files), "retries")
+
+
+def handle(ws: Workspace, spark: SparkSession, log: DataFrame, content: DataFrame, batch_id: int, modalities: list[str] | None = None) -> None:
+    """Enriches logged files with their content; writes rows, audit and ledger of the batch."""
     done, audit = [], []
-    for modality, types in TYPES.items():
-        mine = log.filter(F.col("file_type").isin(types))
+    for modality in modalities or list(TYPES):
+        mine = log.filter(F.col("file_type").isin(TYPES[modality]))
+        read = mine.join(content, "file_path", "left").withColumn("fault", F.when(F.col("content").isNull(), "the file is gone").when(
+            ~F.is_valid_utf8(F.col("content").cast("string")), "the content is not UTF-8 text"))
+        good = read.filter("fault IS NULL")
         try:
-            content = parse_content(mine.join(files.select("file_path", "content"), "file_path"), modality)
-            rows = E.enrich_document(content, modality, ws.vocabularies[modality], ws.processed_at(), ws.embeddings)
+            rows = E.enrich_document(parse_content(good, modality), modality, ws.vocabularies[modality], ws.processed_at(), ws.embeddings)
             write_intelligence(rows, ws.table(f"intelligence-{modality.lower()}"), batch_id)
-            done.append(mine)
-            status, error = "LOADED", None
+            done.append(good.select("file_id"))
+            fault = F.col("fault")
         except Exception as e:  # noqa: BLE001 - one modality must not stop the others
-            status, error = "LOAD_FAILED", str(e)[:500]
-        audit.append(mine.agg(F.lit(modality).alias("modality"), F.count(F.lit(1)).alias("row_count"), F.lit(status).alias("status"),
-                              F.lit(error).cast("string").alias("error"), ws.processed_at().cast("timestamp_ntz").alias("ts")))
-    counts = reduce(DataFrame.unionByName, audit)
-    write_intelligence(counts, ws.table("audit"), batch_id)
+            fault = F.coalesce("fault", F.lit(str(e)))
+        audit.append(read.select(
+            "file_id", "file_name", F.lit(modality).alias("modality"), F.when(fault.isNull(), "LOADED").otherwise("LOAD_FAILED").alias("status"),
+            F.when(fault.isNull(), 1).otherwise(0).cast("long").alias("row_count"), fault.alias("error"), ws.processed_at().cast("timestamp_ntz").alias("ts")))
+    write_intelligence(reduce(DataFrame.unionByName, audit), ws.table("audit"), batch_id)
     if done:
         ledger = L.ledger_rows(reduce(DataFrame.unionByName, done), batch_id, ws.processed_at()).drop("batch_id")
         write_intelligence(ledger, ws.table("ledger"), batch_id)
-    return spark.read.schema(AUDIT).parquet(ws.table("audit")).filter(F.col("batch_id") == batch_id)
 
 
 def run_intake(ws: Workspace, arrivals: DataFrame, checkpoint: str, every: str | None = None):
@@ -120,7 +168,7 @@ def run_intake(ws: Workspace, arrivals: DataFrame, checkpoint: str, every: str |
 
 def reprocess_modality(ws: Workspace, spark: SparkSession, modality: str, root: str, batch_id: int, force: bool = False) -> DataFrame:
     """Enriches one modality by hand: its pending files, or all with ``force``.
-    Returns the ids and names handled."""
+    Returns the intelligence rows of the batch; readers see them instead of older ones."""
     log = read_table(spark, ws.table("log"), LOG).drop("batch_id")
     if force:
         todo = log.filter(F.col("file_type").isin(TYPES[modality]))
@@ -128,8 +176,5 @@ def reprocess_modality(ws: Workspace, spark: SparkSession, modality: str, root:
         todo = L.pending_files(log, read_table(spark, ws.table("ledger"), LEDGER), TYPES[modality])
     todo = materialize(todo, "reprocess")
     content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.col("path").alias("file_path"), "content")
-    parsed = parse_content(todo.join(content, "file_path"), modality)
-    rows = E.enrich_document(parsed, modality, ws.vocabularies[modality], ws.processed_at(), ws.embeddings)
-    write_intelligence(rows, ws.table(f"intelligence-{modality.lower()}"), batch_id)
-    write_intelligence(L.ledger_rows(todo, batch_id, ws.processed_at()).drop("batch_id"), ws.table("ledger"), batch_id)
-    return todo.select("file_id", "file_name", "file_type")
+    handle(ws, spark, todo, content, batch_id, [modality])
+    return read_table(spark, ws.table(f"intelligence-{modality.lower()}")).filter(F.col("batch_id") == batch_id)

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from clinisift.session import fresh_path
 from clinisift.sources import bindings as B
+from clinisift.sources import filelog as L
 from clinisift.sources import landing as LD
 from clinisift.streaming import arrivals as A
 from clinisift.streaming import index_refresh as IR
@@ -116,14 +117,14 @@ def workspace(s, d) -> PR.Workspace:
     key = (s.sparkContext.applicationId, d)
     if key not in _WS:
         ws = PR.Workspace(fresh_path(s, "intake"), {m: shared.vocabulary(m) for m in PR.TYPES},
-                          lambda: F.lit(shared.PROCESSED_AT).cast("timestamp"), embeddings=False)
+                          lambda: F.lit(shared.PROCESSED_AT).cast("timestamp"))
         PR.run_intake(ws, A.arrivals_stream(s, landing(s, d), content=True), fresh_path(s, "ck"))
         _WS[key] = ws
     return _WS[key]
 
 
 def _processed(s, d):
-    return PR.read_table(s, workspace(s, d).table("audit"), PR.AUDIT).groupBy("modality", "status").agg(F.sum("row_count").alias("row_count"))
+    return PR.read_table(s, workspace(s, d).table("audit"), PR.AUDIT).filter("batch_id < 1000000").groupBy("modality", "status").agg(F.sum("row_count").alias("row_count"))
 
 
 add("process_new_files", _processed, landed("SELECT location AS modality, 'LOADED' AS status, count(*) AS row_count FROM landed GROUP BY 1"))
@@ -131,7 +132,7 @@ add("process_new_files", _processed, landed("SELECT location AS modality, 'LOADE
 
 def _written(s, d):
     """Rows the intake wrote, by file."""
-    t = s.read.parquet(workspace(s, d).table("intelligence-txt"))
+    t = PR.read_intelligence(workspace(s, d), s, "TXT")
     return t.select("file_name", F.md5("raw_text").alias("text_md5"), "doc_category", "summary", "detected_language", "redacted_text")
 
 
@@ -140,11 +141,25 @@ add("write_intelligence", _written,
 
 
 def _reprocess(s, d):
-    return PR.reprocess_modality(workspace(s, d), s, "AUDIO", landing(s, d)["AUDIO"], 1_000_000, force=True).select("file_name", "file_type")
+    """The recordings once more: the rows of the new batch are the ones readers see, once each."""
+    PR.reprocess_modality(workspace(s, d), s, "AUDIO", landing(s, d)["AUDIO"], 1_000_000, force=True)
+    return PR.read_intelligence(workspace(s, d), s, "AUDIO").select("file_name", "summary", F.md5("transcript_text").alias("text_md5"), "batch_id")
 
 
 add("reprocess_modality", _reprocess,
-    landed("""SELECT file_name, CASE WHEN file_name ILIKE '%.mp3' THEN 'MP3' ELSE 'WAV' END AS file_type FROM landed WHERE location = 'AUDIO'"""))
+    with_(*intel("AUDIO"), q="SELECT file_name, summary, md5(text) AS text_md5, CAST(1000000 AS BIGINT) AS batch_id FROM intel_audio"))
+
+
+def _history(s, d):
+    """The newest attempts in the audit of the intake."""
+    a = PR.read_table(s, workspace(s, d).table("audit"), PR.AUDIT).filter("batch_id < 1000000")
+    h = L.load_history(a, F.lit("2024-02-01 12:00:00").cast("timestamp_ntz"), 24, 20)
+    return h.select("file_name", "modality", "status", "row_count", "error")
+
+
+add("load_history_of_intake", _history,
+    landed("""SELECT file_name, location AS modality, 'LOADED' AS status, CAST(1 AS BIGINT) AS row_count, CAST(NULL AS VARCHAR) AS error
+      FROM landed ORDER BY file_name LIMIT 20"""))
 
 
 def _refresh(s, d):

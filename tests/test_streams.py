@@ -35,7 +35,7 @@ def drop(roots, n, day):
 
 
 def space(tmp_path):
-    return PR.Workspace(str(tmp_path / "ws"), processed_at=lambda: F.lit("2024-01-01").cast("timestamp"), embeddings=False)
+    return PR.Workspace(str(tmp_path / "ws"), processed_at=lambda: F.lit("2024-01-01").cast("timestamp"))
 
 
 def test_intake_over_three_drops(spark, roots, tmp_path):
@@ -78,7 +78,9 @@ def test_failing_modality_stays_pending_and_can_be_redone(spark, roots, tmp_path
     ws = space(tmp_path)
     drop(roots, 2, 1)
     good = ws.vocabularies.pop("PDF")
-    audit = {r["modality"]: r["status"] for r in PR.process_new_files(ws, batch_of(spark, roots), 0).collect()}
+    rows = PR.process_new_files(ws, batch_of(spark, roots), 0).collect()
+    audit = {r["modality"]: r["status"] for r in rows}
+    assert len(rows) == 6 and {r["error"] is None for r in rows if r["modality"] == "PDF"} == {False}
     assert audit == {"PDF": "LOAD_FAILED", "TXT": "LOADED", "AUDIO": "LOADED"}
     log, ledger = PR.read_table(spark, ws.table("log"), PR.LOG), PR.read_table(spark, ws.table("ledger"), PR.LEDGER)
     assert {r["file_type"] for r in L.pending_files(log, ledger, ["PDF", "TXT", "WAV", "MP3"]).collect()} == {"PDF"}
@@ -87,13 +89,77 @@ def test_failing_modality_stays_pending_and_can_be_redone(spark, roots, tmp_path
     assert PR.reprocess_modality(ws, spark, "PDF", roots["PDF"], 2).count() == 0
 
 
+def test_a_bad_file_fails_alone_and_is_retried(spark, roots, tmp_path):
+    ws = space(tmp_path)
+    ws.max_attempts = 3
+    drop(roots, 2, 1)
+    bad = os.path.join(roots["TXT"], "latin.txt")
+    with open(bad, "wb") as f:
+        f.write("caf\u00e9 nurse\n".encode("latin-1"))
+    status = {r["file_name"]: r["status"] for r in PR.process_new_files(ws, batch_of(spark, roots), 0).collect()}
+    assert {f for f, s in status.items() if s == "LOAD_FAILED"} == {"latin.txt"}
+    nothing = batch_of(spark, roots).limit(0)
+    assert [r["status"] for r in PR.process_new_files(ws, nothing, 1).collect()] == ["LOAD_FAILED"]
+    with open(bad, "w") as f:
+        f.write("caf\u00e9 nurse\n")
+    assert [(r["file_name"], r["status"]) for r in PR.process_new_files(ws, nothing, 2).collect()] == [("latin.txt", "LOADED")]
+    assert PR.process_new_files(ws, nothing, 3).count() == 0
+    assert {r["raw_text"] for r in PR.read_intelligence(ws, spark, "TXT").collect() if r["file_name"] == "latin.txt"} == {"caf\u00e9 nurse"}
+    audit = PR.read_table(spark, ws.table("audit"), PR.AUDIT)
+    history = L.load_history(audit, F.lit("2024-01-01 06:00:00").cast("timestamp_ntz"), n=3).collect()
+    assert audit.count() == 9 and [r["file_name"] for r in history] == ["d1_0.ogg", "d1_0.pdf", "d1_0.txt"]
+
+
+def test_a_file_that_fails_too_often_is_left_alone(spark, roots, tmp_path):
+    ws = space(tmp_path)
+    ws.max_attempts = 2
+    with open(os.path.join(roots["TXT"], "bad.txt"), "wb") as f:
+        f.write(b"\xff\xfe\xff")
+    batch = batch_of(spark, roots)
+    PR.process_new_files(ws, batch, 0)
+    assert PR.process_new_files(ws, batch.limit(0), 1).count() == 1
+    assert PR.process_new_files(ws, batch.limit(0), 2).count() == 0
+
+
+def test_forced_rerun_leaves_one_current_row(spark, roots, tmp_path):
+    ws = space(tmp_path)
+    drop(roots, 3, 1)
+    PR.process_new_files(ws, batch_of(spark, roots), 0)
+    assert PR.reprocess_modality(ws, spark, "TXT", roots["TXT"], 7, force=True).count() == 3
+    now = PR.read_intelligence(ws, spark, "TXT")
+    assert now.count() == 3 and {r["batch_id"] for r in now.collect()} == {7}
+
+
+def test_vectors_do_not_depend_on_the_batch(spark, roots, tmp_path):
+    one, two = PR.Workspace(str(tmp_path / "a")), PR.Workspace(str(tmp_path / "b"))
+    drop(roots, 4, 1)
+    batch = batch_of(spark, roots)
+    PR.process_new_files(one, batch, 0)
+    first = F.col("file_name").rlike("_[01]\\.")
+    PR.process_new_files(two, batch.filter(first), 0)
+    PR.process_new_files(two, batch.filter(~first), 1)
+    a, b = ({r["file_name"]: r["embedding"] for r in PR.read_intelligence(w, spark, "TXT").collect()} for w in (one, two))
+    assert a == b and len(a) == 4 and all(len(v) == 768 for v in a.values())
+
+
+def test_only_a_missing_table_counts_as_empty(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "x.parquet").write_text("no parquet")
+    assert PR.read_table(spark, str(tmp_path / "none"), PR.LOG).count() == 0
+    with pytest.raises(Exception) as e:
+        PR.read_table(spark, str(tmp_path / "broken")).count()
+    assert not isinstance(e.value, AnalysisException) or e.value.getCondition() != "PATH_NOT_FOUND"
+
+
 def test_windows_over_drops_equal_batch_and_late_rows_are_counted(spark, tmp_path):
     src, ck, out = str(tmp_path / "in"), str(tmp_path / "ck"), str(tmp_path / "out")
     ev = spark.range(600).select(F.timestamp_seconds(1704067200 + F.col("id") * 13).alias("event_time"), (F.col("id") % 3).alias("kind"))
     for i in range(3):
         ev.filter(F.floor(F.unix_timestamp("event_time") / 3000) % 3 == i).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    got = A.arrivals_windowed(stream, "kind", out, ck, delay="1 day")
+    got = A.arrivals_windowed(stream, "kind", out, ck, delay="1 day", audit=str(tmp_path / "late"))
+    assert [r["late_rows"] for r in spark.read.parquet(str(tmp_path / "late")).collect()] == [0]
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, A.windowed_counts(ev, "kind").collect()))
 
 

@@ -89,4 +89,5 @@ def enrich_document(files: DataFrame, modality: str, vocab: Vocabulary, processe
             out = out.withColumn("has_layout", F.col("_blocks") > 0).drop("_blocks")
     if embeddings:
         out = out.withColumn("embedding", V.text_vector(text))
+    out = out.withColumn("file_id", F.col("id"))
     return out.withColumnsRenamed(names).withColumn("processed_at", processed_at.cast("timestamp_ntz"))

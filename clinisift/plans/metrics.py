@@ -1,7 +1,8 @@
 """Metric layer: named dimensions and metrics over four entities and five many-to-one links.
 
-A fact is always reduced to its keys before a dimension is joined: a provider that
-holds a third of all claims becomes one row on the map side, and no join can fan out.
+Every link is many to one, so no join can fan out. Dimensions small enough to broadcast are
+joined where the fact is read; before larger ones a fact is reduced to its keys, so that a
+provider with a third of all claims becomes one row on the map side.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import rounded
+from ..session import fits_broadcast, materialize
 
 KEYS = {"patients": "patient_id", "providers": "provider_id",
         "claims": "claim_id", "appointments": "appointment_id"}
@@ -149,7 +151,14 @@ def semantic_query(
     # Two links never share a key column here, so the pre-aggregate is keyed by name.
     keys = [F.col(LINKS[(fact, h)]).alias(f"_fk_{h}") for h in hops]
     own_cols = [F.col(DIMENSIONS[d][1]).alias(d) for d in own]
-    df = df.groupBy(*own_cols, *keys).agg(*_parts(metrics, merge=False))
+    # Where every dimension can be broadcast, facts meet them where they are read and the only
+    # exchange is that of the result; else a fact is first reduced to its keys.
+    small = all(fits_broadcast(tables[e]) for e in {*far, *hops})
+    if small:
+        columns = [METRICS[m][2] for m in metrics]
+        df = df.select(*own_cols, *keys, *dict.fromkeys(columns))
+    else:
+        df = df.groupBy(*own_cols, *keys).agg(*_parts(metrics, merge=False))
 
     for e in far:
         e_dims = [d for d in used if DIMENSIONS[d][0] == e]
@@ -164,7 +173,7 @@ def semantic_query(
         for d in e_dims:
             if d in filters:
                 df = df.filter(F.col(d).isin(filters[d]))
-    df = df.groupBy(*dims).agg(*_parts(metrics, merge=True)).select(*dims, *[_final(m) for m in metrics])
+    df = df.groupBy(*dims).agg(*_parts(metrics, merge=not small)).select(*dims, *[_final(m) for m in metrics])
     if order:
         df = df.orderBy(*order)
     return df.limit(limit) if limit else df
@@ -195,7 +204,7 @@ def profile_dimensions(tables: dict[str, DataFrame], top: int = 3) -> DataFrame:
             .groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("n"))
             .withColumn("entity", F.lit(e))
         )
-    c = reduce(DataFrame.unionByName, counted)
+    c = materialize(reduce(DataFrame.unionByName, counted), "dimension-values")
     stats = c.groupBy("entity", "dimension").agg(
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),

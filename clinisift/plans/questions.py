@@ -51,12 +51,12 @@ def compare_modalities(insights: DataFrame) -> DataFrame:
 
 
 def docs_mentioning_any(corpus: DataFrame, terms: list[str]) -> DataFrame:
-    return corpus.filter(mentions(F.col("search_text"), terms)).select("id", "file_name", "category", "patient_name", "finding")
+    return corpus.filter(mentions(F.col("search_text"), terms)).select("id", "file_name", "doc_category", "patient_name", "diagnosis")
 
 
 def category_with_terms(corpus: DataFrame, category: str, terms: list[str]) -> DataFrame:
     """Documents of a category that mention any of the terms."""
-    return docs_mentioning_any(corpus.filter(F.col("category") == category), terms)
+    return docs_mentioning_any(corpus.filter(F.col("doc_category") == category), terms)
 
 
 def mentions_in_audio(segments: DataFrame, terms: list[str]) -> DataFrame:

@@ -34,7 +34,7 @@ def _f(name: str, alias: str | None = None) -> Column:
 def document_metrics(df: DataFrame, id_col: str) -> DataFrame:
     """Flat rows of document intelligence; ``id_col`` tells PDF (doc_id) from TXT (txt_id)."""
     return df.select(
-        id_col, "file_name", "processed_at", "doc_category", "doc_category_confidence", "sentiment_score",
+        id_col, "file_id", "file_name", "processed_at", "doc_category", "doc_category_confidence", "sentiment_score",
         *_dims(LX.DOCUMENT_DIMENSIONS),
         _f("patient_name"), _f("provider_name"), _f("facility_name"), _f("document_date"), _f("diagnosis"), _f("insurance_id"),
         _f("total_amount", "billed_amount"),
@@ -46,7 +46,7 @@ def document_metrics(df: DataFrame, id_col: str) -> DataFrame:
 
 def audio_metrics(df: DataFrame) -> DataFrame:
     return df.select(
-        "audio_id", "file_name", "processed_at", "audio_duration_secs",
+        "audio_id", "file_id", "file_name", "processed_at", "audio_duration_secs",
         rounded(F.col("audio_duration_secs") / F.lit(60.0), 1).alias("duration_minutes"), "speaker_count",
         "call_category", "call_category_confidence", "sentiment_score", *_dims(LX.CONSULTATION_DIMENSIONS),
         _f("patient_name"), _f("provider_name"), _f("chief_complaint"), _f("diagnosis_discussed"),
@@ -58,19 +58,19 @@ def audio_metrics(df: DataFrame) -> DataFrame:
 
 def combined_insights(pdf: DataFrame, txt: DataFrame, audio: DataFrame) -> DataFrame:
     """The three metric views under 16 common columns; what a modality lacks is NULL."""
-    common = ["file_name", "processed_at", "sentiment_score", "patient_name", "provider_name", "detected_language",
-              "was_translated", "summary"]
-
-    def of(df, kind, rec, cat, finding, meds, actions, *extra):
-        return df.select(F.lit(kind).alias("source_type"), F.col(rec).alias("record_id"), F.col(cat).alias("category"),
-                         F.col(finding).alias("primary_finding"), F.col(meds).alias("medication_count"),
-                         F.col(actions).alias("action_item_count"), *common, *extra)
+    def of(df, kind, rec, cat, finding, meds, actions, minutes, speakers):
+        return df.select(
+            F.lit(kind).alias("source_type"), F.col(rec).alias("record_id"), "file_name", "processed_at", F.col(cat).alias("category"),
+            "sentiment_score", "patient_name", "provider_name", F.col(finding).alias("primary_finding"), "detected_language",
+            "was_translated", "summary", F.col(meds).alias("medication_count"), F.col(actions).alias("action_item_count"),
+            minutes.cast("double").alias("duration_minutes"), speakers.cast("long").alias("speaker_count"))
 
-    docs = [of(d, k, r, "doc_category", "diagnosis", "medication_count", "follow_up_count")
-            for d, k, r in ((pdf, "PDF", "doc_id"), (txt, "TXT", "txt_id"))]
-    calls = of(audio, "AUDIO", "audio_id", "call_category", "chief_complaint", "medications_mentioned", "action_item_count",
-               "duration_minutes", "speaker_count")
-    return calls.unionByName(docs[0], allowMissingColumns=True).unionByName(docs[1], allowMissingColumns=True)
+    none = F.lit(None)
+    return (
+        of(pdf, "PDF", "doc_id", "doc_category", "diagnosis", "medication_count", "follow_up_count", none, none)
+        .unionAll(of(txt, "TXT", "txt_id", "doc_category", "diagnosis", "medication_count", "follow_up_count", none, none))
+        .unionAll(of(audio, "AUDIO", "audio_id", "call_category", "chief_complaint", "medications_mentioned", "action_item_count",
+                     F.col("duration_minutes"), F.col("speaker_count"))))
 
 
 def search_corpus(df: DataFrame, modality: str) -> DataFrame:
@@ -80,15 +80,15 @@ def search_corpus(df: DataFrame, modality: str) -> DataFrame:
     if modality == "AUDIO":
         text = F.concat(e(F.col("transcript_text")), F.lit("\n\nSUMMARY: "), e(F.col("summary")), F.lit("\n\nCONSULTATION NOTES: "),
                         e(F.col("consultation_notes")), F.lit("\n\nCHIEF COMPLAINT: "), e(_f("chief_complaint")))
-        return df.select(F.col("audio_id").alias("id"), "file_name", text.alias("search_text"), F.col("call_category").alias("category"),
-                         unknown("patient_name"), unknown("provider_name"), e(_f("chief_complaint")).alias("finding"),
-                         "detected_language", F.col("audio_duration_secs").cast("string").alias("duration_secs"),
-                         F.col("speaker_count").cast("string").alias("speaker_count"))
+        return df.select(F.col("audio_id").alias("id"), "file_name", text.alias("search_text"), "call_category",
+                         unknown("patient_name"), unknown("provider_name"), e(_f("chief_complaint")).alias("chief_complaint"),
+                         F.col("audio_duration_secs").alias("duration_secs"), "speaker_count", "detected_language", "sentiment_score", "processed_at")
     body, rec = ("parsed_text", "doc_id") if modality == "PDF" else ("raw_text", "txt_id")
     text = F.concat(e(F.col(body)), F.lit("\n\nSUMMARY: "), e(F.col("summary")), F.lit("\n\nINSIGHTS: "), e(F.col("key_insights")),
                     F.lit("\n\nDIAGNOSIS: "), e(_f("diagnosis")))
-    return df.select(F.col(rec).alias("id"), "file_name", text.alias("search_text"), F.col("doc_category").alias("category"),
-                     unknown("patient_name"), unknown("provider_name"), e(_f("diagnosis")).alias("finding"), "detected_language")
+    return df.select(F.col(rec).alias("id"), "file_name", text.alias("search_text"), "doc_category",
+                     unknown("patient_name"), unknown("provider_name"), e(_f("diagnosis")).alias("diagnosis"), "detected_language",
+                     "sentiment_score", "processed_at")
 
 
 def enrichment_overview(insights: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def function_coverage(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and filled rows per enrichment column and modality."""
     out = None
     for m, df in tables.items():
-        cols = [c for c in df.columns if c not in ("file_name", "processed_at")]
+        cols = [c for c in df.columns if c not in ("file_id", "file_name", "processed_at")]
         one = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(c).alias(c) for c in cols])
         part = one.unpivot(["n_rows"], cols, "measure", "n_filled").withColumn("modality", F.lit(m))
         out = part if out is None else out.unionByName(part)

@@ -73,6 +73,13 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate of ``df`` is below the session's broadcast limit."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint when a bounded count proves the side small; else the plain frame,
     which the optimizer then joins by shuffling."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -51,12 +52,8 @@ def append_files_log(new: DataFrame, log: DataFrame | None = None) -> DataFrame:
     if log is not None:
         start = log.agg(F.max("file_id")).first()[0] or 0
     counts = placed.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
-    # One row per partition: a self-join on that handful of rows gives the offsets.
-    before = counts.select(F.col("pid").alias("p2"), F.col("n").alias("n2"))
-    offsets = (
-        counts.join(F.broadcast(before), F.col("p2") < F.col("pid"), "left")
-        .groupBy("pid").agg(F.coalesce(F.sum("n2"), F.lit(0)).alias("offset"))
-    )
+    # One row per partition: a running sum over that handful of rows gives the offsets.
+    offsets = counts.select("pid", (F.sum("n").over(W.orderBy("pid")) - F.col("n")).alias("offset"))
     return placed.join(F.broadcast(offsets), "pid").select(
         (F.lit(start + 1) + F.col("offset") + F.col("place")).alias("file_id"),
         "file_name", "file_path", "file_type", "event_time")

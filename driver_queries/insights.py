@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clinisift.functions import lexicons as LX
 from clinisift.functions import redaction as RD
+from clinisift.functions.numbers import rounded
 from clinisift.operators import linking as K
 from clinisift.operators import parse as P
 from clinisift.operators import retrieval as R
@@ -85,24 +86,24 @@ AT = "TIMESTAMP '2024-02-01 00:00:00'"
 def views_sql() -> list[str]:
     out = []
     for p, rec in (("pdf", "doc_id"), ("txt", "txt_id")):
-        out.append(f"""{p}_metrics AS (SELECT id AS {rec}, file_name, {AT} AS processed_at, category AS doc_category, confidence AS doc_category_confidence,
+        out.append(f"""{p}_metrics AS (SELECT id AS {rec}, id AS file_id, file_name, {AT} AS processed_at, category AS doc_category, confidence AS doc_category_confidence,
           sentiment_score, urgency AS urgency_score, clinical_concern AS clinical_concern_score, patient_satisfaction AS patient_satisfaction_score,
           patient_name, provider_name, facility_name, document_date, diagnosis, insurance_id, total_amount AS billed_amount,
           len(medications) AS medication_count, len(procedures) AS procedure_count, len(follow_up_actions) AS follow_up_count,
           language AS detected_language, translated_text IS NOT NULL AS was_translated, summary, notes AS key_insights FROM intel_{p})""")
-    out.append(f"""audio_metrics AS (SELECT id AS audio_id, file_name, {AT} AS processed_at, audio_duration_secs,
+    out.append(f"""audio_metrics AS (SELECT id AS audio_id, id AS file_id, file_name, {AT} AS processed_at, audio_duration_secs,
       {rnd('audio_duration_secs / 60.0::DOUBLE', 1)} AS duration_minutes, speaker_count, category AS call_category, confidence AS call_category_confidence,
       sentiment_score, empathy AS empathy_score, clinical_clarity AS clinical_clarity_score, patient_anxiety AS patient_anxiety_score,
       resolution AS resolution_score, patient_name, provider_name, chief_complaint, diagnosis_discussed,
       len(medications_discussed) AS medications_mentioned, len(follow_up_actions) AS action_item_count, next_appointment,
       language AS detected_language, translated_text IS NOT NULL AS was_translated, summary, notes AS consultation_notes FROM intel_audio)""")
-    common = "file_name, processed_at, sentiment_score, patient_name, provider_name, detected_language, was_translated, summary"
     docs = " UNION ALL ".join(
-        f"""SELECT '{p.upper()}' AS source_type, {rec} AS record_id, doc_category AS category, diagnosis AS primary_finding, medication_count,
-        follow_up_count AS action_item_count, {common}, CAST(NULL AS DOUBLE) AS duration_minutes, CAST(NULL AS BIGINT) AS speaker_count FROM {p}_metrics"""
+        f"""SELECT '{p.upper()}' AS source_type, {rec} AS record_id, file_name, processed_at, doc_category AS category, sentiment_score, patient_name, provider_name,
+        diagnosis AS primary_finding, detected_language, was_translated, summary, medication_count, follow_up_count AS action_item_count,
+        CAST(NULL AS DOUBLE) AS duration_minutes, CAST(NULL AS BIGINT) AS speaker_count FROM {p}_metrics"""
         for p, rec in (("pdf", "doc_id"), ("txt", "txt_id")))
-    out.append(f"""insights AS MATERIALIZED ({docs} UNION ALL SELECT 'AUDIO', audio_id, call_category, chief_complaint, medications_mentioned, action_item_count,
-      {common}, duration_minutes, speaker_count FROM audio_metrics)""")
+    out.append(f"""insights AS MATERIALIZED ({docs} UNION ALL SELECT 'AUDIO', audio_id, file_name, processed_at, call_category, sentiment_score, patient_name, provider_name,
+        chief_complaint, detected_language, was_translated, summary, medications_mentioned, action_item_count, duration_minutes, speaker_count FROM audio_metrics)""")
     return out
 
 
@@ -144,14 +145,19 @@ def _flat(m):
     def run(s, d):
         q = VW.quality_rows(shared.intelligence(s, d, m), m).withColumnRenamed("record_id", "id")
         dims = LX.CONSULTATION_DIMENSIONS if m == "AUDIO" else LX.DOCUMENT_DIMENSIONS
-        return q.select(*FLAT, *dims, "redacted_text", F.md5("text").alias("text_md5"))
+        v = F.col("embedding")
+        return q.select(*FLAT, *dims, "redacted_text", F.md5("text").alias("text_md5"),
+                        F.size(F.filter(v, lambda x: x > 0)).cast("long").alias("n_buckets"), rounded(F.array_max(v).cast("double"), 4).alias("largest"))
     return run
 
 
 for _m in MODALITIES:
     _dims = LX.CONSULTATION_DIMENSIONS if _m == "AUDIO" else LX.DOCUMENT_DIMENSIONS
     add(f"enrich_document_{_m.lower()}", _flat(_m),
-        with_(*intel(_m), q=f"SELECT {', '.join(FLAT + _dims)}, redacted_text, md5(text) AS text_md5 FROM intel_{_m.lower()}"))
+        with_(*intel(_m), f"""bk AS (SELECT id, bucket, sum(n) AS n FROM (SELECT id, CAST(('0x' || left(md5(term), 8)) AS BIGINT) % 768 AS bucket, count(*) AS n
+            FROM src_{_m.lower()}_tok WHERE term <> '' GROUP BY 1, 2) GROUP BY 1, 2)""",
+              f"vec AS (SELECT id, count(*) AS n_buckets, {rnd('CAST(CAST(max(n) / sqrt(sum(n * n)) AS FLOAT) AS DOUBLE)', 4)} AS largest FROM bk GROUP BY 1)",
+              q=f"SELECT {', '.join(FLAT + _dims)}, redacted_text, md5(text) AS text_md5, coalesce(n_buckets, -1) AS n_buckets, largest FROM intel_{_m.lower()} LEFT JOIN vec USING (id)"))
 
 add("pdf_metrics", pdf_m, isql("SELECT * FROM pdf_metrics"))
 add("txt_metrics", txt_m, isql("SELECT * FROM txt_metrics"))
@@ -190,18 +196,18 @@ def corpus_sql(m: str) -> str:
     p = m.lower()
     tail = ("'CONSULTATION NOTES: ' || coalesce(notes, '') || chr(10) || chr(10) || 'CHIEF COMPLAINT: ' || coalesce(chief_complaint, '')" if m == "AUDIO"
             else "'INSIGHTS: ' || coalesce(notes, '') || chr(10) || chr(10) || 'DIAGNOSIS: ' || coalesce(diagnosis, '')")
-    finding = "chief_complaint" if m == "AUDIO" else "diagnosis"
     return f"""corpus_{p} AS MATERIALIZED (SELECT id, file_name, coalesce(text, '') || chr(10) || chr(10) || 'SUMMARY: ' || coalesce(summary, '') || chr(10) || chr(10)
-      || {tail} AS search_text, category, coalesce(patient_name, 'Unknown') AS patient_name, coalesce(provider_name, 'Unknown') AS provider_name,
-      coalesce({finding}, '') AS finding, language AS detected_language FROM intel_{p})"""
+      || {tail} AS search_text, category AS {CATEGORY[m]}, coalesce(patient_name, 'Unknown') AS patient_name, coalesce(provider_name, 'Unknown') AS provider_name,
+      coalesce({FINDING[m]}, '') AS {FINDING[m]}, {"audio_duration_secs AS duration_secs, speaker_count," if m == "AUDIO" else ""}
+      language AS detected_language, sentiment_score, {AT} AS processed_at FROM intel_{p})"""
 
 
+CATEGORY = {"PDF": "doc_category", "TXT": "doc_category", "AUDIO": "call_category"}
+FINDING = {"PDF": "diagnosis", "TXT": "diagnosis", "AUDIO": "chief_complaint"}
 for _m in MODALITIES:
     add(f"search_corpus_{_m.lower()}",
-        lambda s, d, m=_m: corpus(s, d, m).select("id", "file_name", F.md5("search_text").alias("text_md5"), "category", "patient_name",
-                                                  "provider_name", "finding", "detected_language"),
-        with_(*intel(_m), corpus_sql(_m),
-              q=f"""SELECT id, file_name, md5(search_text) AS text_md5, category, patient_name, provider_name, finding, detected_language FROM corpus_{_m.lower()}"""))
+        lambda s, d, m=_m: corpus(s, d, m).withColumn("text_md5", F.md5("search_text")).drop("search_text"),
+        with_(*intel(_m), corpus_sql(_m), q=f"SELECT * EXCLUDE (search_text), md5(search_text) AS text_md5 FROM corpus_{_m.lower()}"))
 
 QUESTION = "diabetes hypertension " + V.QUESTION
 _INDEXES: dict[tuple, dict] = {}
@@ -210,7 +216,7 @@ _INDEXES: dict[tuple, dict] = {}
 def indexes(s, d):
     key = (s.sparkContext.applicationId, d)
     if key not in _INDEXES:
-        _INDEXES[key] = {m: R.build_index(corpus(s, d, m), "id", "search_text") for m in MODALITIES}
+        _INDEXES[key] = {m: R.build_index(corpus(s, d, m), "id", "search_text", with_vectors=True) for m in MODALITIES}
     return _INDEXES[key]
 
 
@@ -282,15 +288,24 @@ def has(text, terms):
 
 ANY = ["diabetes", "hypertension"]
 add("docs_mentioning_any", lambda s, d: Q.docs_mentioning_any(corpus(s, d, "PDF"), ANY),
-    with_(*intel("PDF"), corpus_sql("PDF"), q=f"SELECT id, file_name, category, patient_name, finding FROM corpus_pdf WHERE {has('search_text', ANY)}"))
+    with_(*intel("PDF"), corpus_sql("PDF"), q=f"SELECT id, file_name, doc_category, patient_name, diagnosis FROM corpus_pdf WHERE {has('search_text', ANY)}"))
 ABNORMAL = ["ononst", "thatin", "inoran", "fracture"]
-add("category_with_abnormal", lambda s, d: Q.category_with_terms(corpus(s, d, "TXT"), "Radiology Report", ABNORMAL),
-    with_(*intel("TXT"), corpus_sql("TXT"),
-          q=f"SELECT id, file_name, category, patient_name, finding FROM corpus_txt WHERE category = 'Radiology Report' AND {has('search_text', ABNORMAL)}"))
+DOCUMENTS = ["PDF", "TXT"]
+add("category_with_abnormal",
+    lambda s, d: reduce(DataFrame.unionByName, [
+        Q.category_with_terms(corpus(s, d, m), "Radiology Report", ABNORMAL).withColumn("source_type", F.lit(m)) for m in DOCUMENTS]),
+    with_(*intel("PDF"), *intel("TXT"), *[corpus_sql(m) for m in DOCUMENTS], q=" UNION ALL ".join(
+        f"""SELECT id, file_name, doc_category, patient_name, diagnosis, '{m}' AS source_type FROM corpus_{m.lower()}
+        WHERE doc_category = 'Radiology Report' AND {has('search_text', ABNORMAL)}""" for m in DOCUMENTS)))
 add("mentions_in_audio", lambda s, d: Q.mentions_in_audio(B.audio_segments(s, d), ["thatin", "hehely", "orantion", "asthma"]),
     with_(AUDIO_SEGMENTS, q=f"SELECT id AS audio_id, file_name, turn, role, text FROM audio_segments WHERE {has('text', ['thatin', 'hehely', 'orantion', 'asthma'])}"))
-add("insights_by_category", lambda s, d: Q.insights_by_category(txt_m(s, d), "Discharge Summary", "txt_id"),
-    with_(*intel("TXT"), q="""SELECT id AS txt_id, file_name, patient_name, notes AS key_insights FROM intel_txt WHERE category = 'Discharge Summary'"""))
+add("insights_by_category",
+    lambda s, d: reduce(DataFrame.unionByName, [
+        Q.insights_by_category(v(s, d), "Discharge Summary", i).withColumnRenamed(i, "record_id").withColumn("source_type", F.lit(m))
+        for m, v, i in (("PDF", pdf_m, "doc_id"), ("TXT", txt_m, "txt_id"))]),
+    with_(*intel("PDF"), *intel("TXT"), q=" UNION ALL ".join(
+        f"SELECT id AS record_id, file_name, patient_name, notes AS key_insights, '{m}' AS source_type FROM intel_{m.lower()} WHERE category = 'Discharge Summary'"
+        for m in DOCUMENTS)))
 add("cohort_topic_visits", lambda s, d: Q.cohort_topic_visits(audio_m(s, d), ["hypertension", "migraine"]),
     with_(*intel("AUDIO"), q=f"""SELECT id AS audio_id, file_name, patient_name, chief_complaint, {rnd('audio_duration_secs / 60.0::DOUBLE', 1)} AS duration_minutes
       FROM intel_audio WHERE {has("concat_ws(' ', chief_complaint, diagnosis_discussed, summary)", ['hypertension', 'migraine'])}"""))

@@ -1,15 +1,11 @@
 """Hashed word vectors, and exact similarity over stored embeddings.
 
-Similarity search never pairs everything with everything. Copies are collapsed first,
-vectors are placed in cells around pivots, and the triangle inequality on angles names
-the only cells in which a partner can lie. Numpy multiplies the blocks inside a task;
-Spark decides which block goes where.
+Copies are collapsed first, then blocks of distinct vectors meet block by block: numpy
+multiplies two blocks inside a task, Spark decides which meet where, and only hits leave.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -148,92 +144,47 @@ def distinct_vectors(df: DataFrame, k: int, id_col: str = "vec_id", col: str = "
     return reps.join(v.select(F.col("vid").alias("rep"), "vec"), "rep")
 
 
-def _pivots(vectors: DataFrame, n: int) -> np.ndarray:
-    """``n`` vectors chosen by hash: at most a few thousand rows, whatever the table holds."""
-    rows = vectors.select("rep", "vec").orderBy(F.xxhash64("rep"), "rep").limit(n).collect()
-    return _unit(np.array([r["vec"] for r in rows], dtype=np.float64))
-
-
-def _assign(vectors: DataFrame, pivots: np.ndarray, theta: float | None) -> DataFrame:
-    """Cells of every vector: its own (home) and, given an angle, all cells that may hold a
-    partner within it. x lies in cell c only if angle(x, c) <= angle(x, own); so a partner
-    within theta of v needs angle(v, c) <= angle(v, own) + 2 theta."""
-    bc = vectors.sparkSession.sparkContext.broadcast(pivots)
-
-    def place(batches):
-        p = bc.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            m = _unit(np.array(pdf["vec"].tolist(), dtype=np.float64))
-            ang = np.arccos(np.clip(m @ p.T, -1.0, 1.0))
-            own = ang.argmin(axis=1)
-            if theta is None:
-                yield pd.DataFrame({"rep": pdf["rep"].to_numpy(), "vec": pdf["vec"].to_numpy(), "cell": own.astype(np.int64), "home": True})
-                continue
-            reach = ang <= ang[np.arange(len(own)), own][:, None] + 2 * theta + SLACK
-            i, c = np.nonzero(reach)
-            yield pd.DataFrame({"rep": pdf["rep"].to_numpy()[i], "vec": pdf["vec"].to_numpy()[i],
-                                "cell": c.astype(np.int64), "home": own[i] == c})
-
-    return vectors.select("rep", "vec").mapInPandas(place, "rep long, vec array<float>, cell long, home boolean")
-
-
-def _blocks(placed: DataFrame, spark) -> DataFrame:
-    """Splits the rows of a cell into blocks of about BLOCK rows by hash, so a full cell
-    becomes many tasks. Adds the number of blocks of the cell."""
-    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.select("cell", F.ceil(F.col("n") / BLOCK).cast("long").alias("nb"))
-    # One row per cell, and there are as many cells as pivots.
-    return placed.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("nb")))
+def _pairs_in(vectors: DataFrame, min_cos: float, k: int | None) -> DataFrame:
+    """Pairs of (rep, vec) rows scoring at least ``min_cos``; with ``k`` a task passes on its k best only.
 
-
-def _pairs_in(placed: DataFrame, min_cos: float, k: int | None) -> DataFrame:
-    """Pairs (a home row, any other row of the same cell) scoring at least ``min_cos``.
-
-    Each home block meets every block of its cell in a task of its own. With ``k`` a task
-    passes on its k best only.
+    Rows are dealt into blocks by hash and every two blocks meet in one task, so each vector
+    is sent once per block and nothing is held beyond two blocks. An exact answer over
+    vectors without structure costs the square of their number in arithmetic; it never
+    costs more than that in rows.
     """
-    blocked = _blocks(placed, placed.sparkSession)
-    # A row joins the tasks of its own block (as home side) and of all blocks (as partner).
-    other = blocked.select("cell", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("hb"), "block", "rep", "vec", F.lit(False).alias("is_home"))
-    homes = blocked.filter("home").select("cell", F.col("block").alias("hb"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"),
-                                          "rep", "vec", F.lit(True).alias("is_home"))
+    nb = max(1, -(-vectors.count() // BLOCK))
+    blocked = vectors.select("rep", "vec", F.pmod(F.xxhash64("rep"), F.lit(nb)).cast("int").alias("b"))
+    left = blocked.select(F.col("b").alias("i"), F.explode(F.sequence(F.col("b"), F.lit(nb - 1))).alias("j"), "rep", "vec", F.lit(True).alias("left"))
+    right = blocked.select(F.explode(F.sequence(F.lit(0), F.col("b"))).alias("i"), F.col("b").alias("j"), "rep", "vec", F.lit(False).alias("left"))
 
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
-        h, o = pdf[pdf["is_home"]], pdf[~pdf["is_home"]]
-        empty = pd.DataFrame({"id_a": pd.Series(dtype="int64"), "id_b": pd.Series(dtype="int64"), "similarity": pd.Series(dtype="float64")})
-        if not len(h) or not len(o):
-            return empty
-        s = _unit(np.array(h["vec"].tolist(), dtype=np.float64)) @ _unit(np.array(o["vec"].tolist(), dtype=np.float64)).T
-        hi, oi = h["rep"].to_numpy(), o["rep"].to_numpy()
-        i, j = np.nonzero((s >= min_cos - SLACK) & (hi[:, None] != oi[None, :]))
-        a, b = np.minimum(hi[i], oi[j]), np.maximum(hi[i], oi[j])
-        out = pd.DataFrame({"id_a": a, "id_b": b, "similarity": _round6(s[i, j])}).drop_duplicates(["id_a", "id_b"])
+        x, y = pdf[pdf["left"]], pdf[~pdf["left"]]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"id_a": pd.Series(dtype="int64"), "id_b": pd.Series(dtype="int64"), "similarity": pd.Series(dtype="float64")})
+        s = _unit(np.array(x["vec"].tolist(), dtype=np.float64)) @ _unit(np.array(y["vec"].tolist(), dtype=np.float64)).T
+        xi, yi = x["rep"].to_numpy(), y["rep"].to_numpy()
+        hit = s >= min_cos - SLACK
+        if pdf["i"].iloc[0] == pdf["j"].iloc[0]:
+            hit &= xi[:, None] < yi[None, :]
+        if k is not None and hit.sum() > k:
+            hit &= s >= np.partition(s[hit], -k)[-k] - SLACK
+        i, j = np.nonzero(hit)
+        out = pd.DataFrame({"id_a": np.minimum(xi[i], yi[j]), "id_b": np.maximum(xi[i], yi[j]), "similarity": _round6(s[i, j])})
         if k is not None:
             out = out.sort_values(["similarity", "id_a", "id_b"], ascending=[False, True, True]).head(k)
         return out
 
-    return homes.unionByName(other).groupBy("cell", "hb", "block").applyInPandas(
-        multiply, "id_a long, id_b long, similarity double")
-
-
-def _cells(n_vectors: int) -> int:
-    return int(min(4096, max(1, math.isqrt(max(n_vectors, 1)) // 2)))
+    return left.unionByName(right).groupBy("i", "j").applyInPandas(multiply, "id_a long, id_b long, similarity double")
 
 
 def similarity_join(df: DataFrame, threshold: float, id_col: str = "vec_id", col: str = "embedding") -> DataFrame:
     """All pairs of distinct vectors with cosine >= threshold, and how often each occurs.
 
-    Exact: only cells that the triangle inequality rules out are skipped. Copies appear as
-    one vector with a count, so a vector that makes up a third of the table adds one row per
-    partner, not one per copy.
+    Exact. Copies appear as one vector with a count, so a vector that makes up a third of
+    the table adds one row per partner, not one per copy.
     """
     v = materialize(distinct_vectors(df, 0, id_col, col), "distinct-vectors")
-    pivots = _pivots(v, _cells(v.count()))
-    placed = materialize(_assign(v, pivots, math.acos(max(-1.0, min(1.0, threshold)))), "vector-cells")
-    hits = _pairs_in(placed, threshold, None).dropDuplicates(["id_a", "id_b"])
-    hits = hits.filter(F.col("similarity") >= F.lit(float(_round6(np.float64(threshold)))))
+    hits = _pairs_in(v, threshold, None).filter(F.col("similarity") >= F.lit(float(_round6(np.float64(threshold)))))
     n = v.select("rep", "n_copies")
     return (hits.join(n.select(F.col("rep").alias("id_a"), F.col("n_copies").alias("copies_a")), "id_a")
             .join(n.select(F.col("rep").alias("id_b"), F.col("n_copies").alias("copies_b")), "id_b")
@@ -241,24 +192,10 @@ def similarity_join(df: DataFrame, threshold: float, id_col: str = "vec_id", col
 
 
 def similarity_pairs(df: DataFrame, k: int = 20, id_col: str = "vec_id", col: str = "embedding") -> DataFrame:
-    """The k most similar unordered pairs of the table, by (similarity, id_a, id_b).
-
-    First the k best pairs inside home cells: their worst score can only be below the true
-    k-th best, so joining at that score finds every pair of the answer.
-    """
+    """The k most similar unordered pairs of the table, by (similarity, id_a, id_b)."""
     v = materialize(distinct_vectors(df, k, id_col, col), "distinct-vectors")
-    pivots = _pivots(v, _cells(v.count()))
     order = [F.desc("similarity"), "id_a", "id_b"]
-    near = _pairs_in(materialize(_assign(v, pivots, None), "home-cells"), -1.0, k)
-    found = near.dropDuplicates(["id_a", "id_b"]).orderBy(*order).limit(k).select("similarity").collect()
-    n_copies = v.agg(F.sum(F.col("n_copies") - 1)).first()[0] or 0
-    if n_copies >= k:
-        floor = 1.0 - 1e-6  # copies alone fill the list
-    else:
-        floor = min((r["similarity"] for r in found), default=-1.0) if len(found) >= k else -1.0
-    placed = _assign(v, pivots, math.acos(max(-1.0, min(1.0, floor - 1e-6))))
-    between = _pairs_in(materialize(placed, "vector-cells"), floor - 1e-6, k).dropDuplicates(["id_a", "id_b"])
-    best = between.orderBy(*order).limit(k)
+    best = _pairs_in(v, -1.0, k).orderBy(*order).limit(k)
     ids = v.select(F.col("rep"), "first_ids")
     # Ids behind the chosen vectors: up to k + 1 on either side of at most k pairs.
     spread = (
@@ -276,45 +213,35 @@ def similarity_pairs(df: DataFrame, k: int = 20, id_col: str = "vec_id", col: st
     return spread.unionByName(same).orderBy(*order).limit(k)
 
 
-QUERY_CHUNK = 2048
-
-
 def nearest_neighbors(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", col: str = "embedding") -> DataFrame:
     """The k nearest other vectors of every query vector.
 
-    Queries go to the tasks in chunks of bounded size; a batch keeps its k best per query,
-    and the final ranking sees those only. The table is read once per chunk and never moves.
+    Blocks of queries meet blocks of vectors, each pair of blocks in one task; a task passes
+    on its k best per query and the final ranking sees those only.
     """
-    spark = vectors.sparkSession
-    n = queries.count()
-    chunks = max(1, -(-n // QUERY_CHUNK))
-    numbered = queries.select(F.col(id_col).alias("q"), F.col(col).alias("qv"), F.pmod(F.xxhash64(id_col), F.lit(chunks)).alias("chunk"))
-    if chunks > 1:
-        numbered = materialize(numbered, "query-chunks", ("chunk",))
-    out = None
-    for c in range(chunks):
-        rows = numbered.filter(F.col("chunk") == c).select("q", "qv").collect()
-        if not rows:
-            continue
-        bc = spark.sparkContext.broadcast((np.array([r["q"] for r in rows]), _unit(np.array([r["qv"] for r in rows], dtype=np.float64))))
-
-        def best(batches, bc=bc):
-            qi, qm = bc.value
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                ids = pdf[id_col].to_numpy()
-                s = _round6(qm @ _unit(np.array(pdf[col].tolist(), dtype=np.float64)).T)
-                s[qi[:, None] == ids[None, :]] = -np.inf
-                for r in range(len(qi)):
-                    near = np.flatnonzero(s[r] >= -np.partition(-s[r], min(k, len(ids)) - 1)[min(k, len(ids)) - 1])
-                    near = near[np.isfinite(s[r][near])]
-                    take = near[np.lexsort((ids[near], -s[r][near]))][:k]
-                    yield pd.DataFrame({"query_id": np.full(len(take), qi[r]), "neighbor_id": ids[take], "similarity": s[r][take]})
-
-        part = vectors.select(id_col, col).mapInPandas(best, "query_id long, neighbor_id long, similarity double")
-        part = part if chunks == 1 else materialize(part, "neighbors")
-        out = part if out is None else out.unionByName(part)
+    nv, nq = (max(1, -(-df.count() // BLOCK)) for df in (vectors, queries))
+    dealt = F.pmod(F.xxhash64(id_col), F.lit(nv)).cast("int")
+    v = vectors.select(dealt.alias("i"), F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("j"), F.col(id_col).alias("id"), F.col(col).alias("vec"), F.lit(False).alias("asks"))
+    asked = F.pmod(F.xxhash64(id_col), F.lit(nq)).cast("int")
+    q = queries.select(F.explode(F.sequence(F.lit(0), F.lit(nv - 1))).alias("i"), asked.alias("j"), F.col(id_col).alias("id"), F.col(col).alias("vec"), F.lit(True).alias("asks"))
+
+    def best(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+        found = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+        if len(x) and len(y):
+            ids, asks = y["id"].to_numpy(), x["id"].to_numpy()
+            s = _round6(_unit(np.array(x["vec"].tolist(), dtype=np.float64)) @ _unit(np.array(y["vec"].tolist(), dtype=np.float64)).T)
+            s[asks[:, None] == ids[None, :]] = -np.inf
+            kth = -np.partition(-s, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+            i, j = np.nonzero((s >= kth[:, None]) & np.isfinite(s))
+            order = np.lexsort((ids[j], -s[i, j], i))
+            i, j = i[order], j[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            i, j = i[place < k], j[place < k]
+            found = [asks[i], ids[j], s[i, j]]
+        return pd.DataFrame(dict(zip(("query_id", "neighbor_id", "similarity"), found, strict=True)))
+
+    out = v.unionByName(q).groupBy("i", "j").applyInPandas(best, "query_id long, neighbor_id long, similarity double")
     w = W.partitionBy("query_id").orderBy(F.desc("similarity"), "neighbor_id")
     return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("long").alias("rank"), "neighbor_id", "similarity")

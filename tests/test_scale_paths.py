@@ -78,7 +78,7 @@ def test_neighbors_in_query_chunks(spark, monkeypatch):
     m = rng.normal(size=(150, 8))
     v = vectors(spark, m)
     want = {(r["query_id"], r["rank"]): (r["neighbor_id"], r["similarity"]) for r in V.nearest_neighbors(v, v, 4).collect()}
-    monkeypatch.setattr(V, "QUERY_CHUNK", 40)
+    monkeypatch.setattr(V, "BLOCK", 40)
     assert {(r["query_id"], r["rank"]): (r["neighbor_id"], r["similarity"]) for r in V.nearest_neighbors(v, v, 4).collect()} == want
     b = brute(m)
     for q in (0, 77):
@@ -183,3 +183,55 @@ def test_file_ids_are_dense_and_in_order(spark):
     assert ids == list(range(1, 5001))
     a = [(r["event_time"], r["file_path"]) for r in first.orderBy("file_id").collect()]
     assert a == sorted(a)
+
+
+def test_nothing_is_cut_from_long_visits(spark):
+    turns = [(1, i, "user", f"the patient said number {i} again and again") for i in range(1000)]
+    seg = spark.createDataFrame([*turns, (1, 1000, "assistant", "plan follow medication schedule prescribe")], "id long, turn long, role string, text string")
+    note = S.soap_notes(seg, {"Subjective": "patient said", "Plan": "plan medication schedule"}).first()["consultation_notes"]
+    assert len(note) > 30_000 and note.endswith("plan follow medication schedule prescribe") and "number 999 again" in note
+    long = spark.createDataFrame([(1, ". ".join(f"word{i} " + "heart pain " * 900 for i in range(3)) + ".")], "id long, text string")
+    assert len(S.summarize(long).first()["summary"]) > 25_000
+
+
+def test_fused_search_returns_as_many_as_asked_for(spark):
+    docs = spark.createDataFrame([(i, f"heart pain case{i}") for i in range(300)], "id long, text string")
+    ix = R.build_index(docs, with_vectors=True)
+    q = R.one_query(spark, "heart pain")
+    assert R.search_hybrid(ix, q, 200).count() == 200
+    allowed = docs.filter("id % 3 = 0").select("id")
+    got = R.search_hybrid(ix, q, 1000, allowed=allowed).collect()
+    assert len(got) == 100 and {r["id"] % 3 for r in got} == {0}
+
+
+def test_words_of_a_question_reach_the_scan(spark):
+    docs = spark.createDataFrame([(i, f"heart pain case{i}") for i in range(50)], "id long, text string")
+    ix = R.build_index(docs, with_vectors=True)
+    plan = R.search_lexical(ix, R.one_query(spark, "heart case7"), 5)._jdf.queryExecution().executedPlan().toString()
+    assert "In(term, [" in plan
+    assert "In(bucket, [" in R.search_vector(ix, R.one_query(spark, "heart case7"), 5)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranks_over_all_partitions(spark):
+    rows = spark.range(5000).select((F.col("id") % 3).alias("query_id"), F.col("id"), (F.hash("id") % 50).cast("double").alias("score"))
+    got = R.ranked_all(rows).collect()
+    for q in range(3):
+        mine = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, len(mine) + 1))
+        assert [(-r["score"], r["id"]) for r in mine] == sorted((-r["score"], r["id"]) for r in mine)
+
+
+def test_resolution_of_wrong_first_letters_and_homonyms(spark):
+    master = spark.createDataFrame([("Gonzalez Maria", 1), ("John Smith", 7), ("Smith, John", 8), ("John Smith", 9), ("Al", 3)], "name string, patient_id long")
+    asked = [(0, "Conzalez Maria"), (1, "John Smith"), (2, "Jon Smith"), (3, "x" * 5000), (4, "A"), (5, None), (6, "John Smith")]
+    got = {r["record_id"]: (r["patient_id"], r["distance"], r["n_candidates"]) for r in K.resolve_patient(
+        spark.createDataFrame(asked, "record_id long, name string"), master).collect()}
+    assert got == {0: (1, 1, 1), 1: (None, 0, 2), 2: (None, 1, 2), 3: (None, None, 0), 4: (3, 1, 1), 5: (None, None, 0), 6: (None, 0, 2)}
+
+
+def test_recordings_without_a_patient_keep_their_row(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    v = spark.createDataFrame([(1, 1, 1, t), (2, None, 1, t)], "appointment_id long, patient_id long, provider_id long, appointment_date timestamp_ntz")
+    r = spark.createDataFrame([(5, 1, 1, t), (6, None, 1, t), (7, 1, None, t), (8, 1, 1, None)], "recording_id long, patient_id long, provider_id long, recorded_at timestamp_ntz")
+    assert {x["recording_id"]: x["appointment_id"] for x in K.visit_recording_link(r, v).collect()} == {5: 1, 6: None, 7: None, 8: None}

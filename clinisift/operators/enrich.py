@@ -43,7 +43,7 @@ CONSULTATION_VOCABULARY = Vocabulary({k: LX.CONSULTATION_TERMS[k] for k in LX.CO
 def _texts(files: DataFrame, modality: str) -> DataFrame:
     if modality == "PDF":
         return files.select("id", "file_name", X.markup_to_text(F.col("html")).alias("text"),
-                            F.regexp_count(F.col("html"), F.lit(r"(?i)<(title|h[1-6]|li|tr|p)[ >]")).alias("_blocks"))
+                            P.layout_blocks(F.col("html")).alias("parsed_layout"))
     if modality == "TXT":
         return files.select("id", "file_name", "text")
     return P.assemble_transcript(files).withColumnRenamed("transcript_text", "text")
@@ -86,7 +86,7 @@ def enrich_document(files: DataFrame, modality: str, vocab: Vocabulary, processe
         names = {"id": "doc_id" if modality == "PDF" else "txt_id", "text": "parsed_text" if modality == "PDF" else "raw_text",
                  "category": "doc_category", "confidence": "doc_category_confidence"}
         if modality == "PDF":
-            out = out.withColumn("has_layout", F.col("_blocks") > 0).drop("_blocks")
+            out = out.withColumn("has_layout", F.size("parsed_layout") > 0)
     if embeddings:
         out = out.withColumn("embedding", V.text_vector(text))
     out = out.withColumn("file_id", F.col("id"))

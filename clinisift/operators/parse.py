@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import redaction as R
@@ -23,28 +23,32 @@ LAYOUT_KINDS = {"title": "title", "h1": "heading", "h2": "heading", "h3": "headi
 FIELD_LINE = r"^[A-Z][A-Za-z .]{1,40}: \S"
 
 
-def parse_layout(df: DataFrame, id_col: str = "id", col: str = "html") -> DataFrame:
-    """Ordered layout blocks (id, ord, kind, level, text) of a laid-out document.
+def layout_blocks(html: Column) -> Column:
+    """Ordered layout blocks (ord, kind, level, text) of a laid-out document as one array.
 
     A block reaches from its opening tag to the next block tag, so unclosed tags lose
-    nothing. Everything is one projection over one row; no shuffle.
+    nothing. Everything is an expression over one row; no shuffle.
     """
     tags = "|".join(LAYOUT_KINDS)
-    pieces = F.split(
-        F.regexp_replace(X.strip_invisible(F.col(col)), rf"(?i)<({tags})(\s[^>]*)?>", X.MARK + "$1" + "\u0002"), X.MARK)
-    blocks = df.select(id_col, F.posexplode(pieces).alias("ord", "piece")).filter(F.col("ord") > 0)
-    tag = F.lower(F.split_part("piece", F.lit("\u0002"), F.lit(1)))
-    body = X.inline_text(F.regexp_replace(F.split_part("piece", F.lit("\u0002"), F.lit(2)), r"(?is)</?(br|article|section|nav|ul|ol|div|body|head|html|table)[^>]*>", " "))
+    pieces = F.split(F.regexp_replace(X.strip_invisible(html), rf"(?i)<({tags})(\s[^>]*)?>", X.MARK + "$1" + "\u0002"), X.MARK)
     kinds = F.create_map(*[F.lit(x) for kv in LAYOUT_KINDS.items() for x in kv])
-    kind = F.element_at(kinds, tag)
-    return (
-        blocks.select(id_col, F.col("ord").cast("long").alias("ord"), kind.alias("kind"),
-                      F.when(tag.rlike("^h[1-6]$"), F.substring(tag, 2, 1).cast("long")).otherwise(F.lit(0)).alias("level"),
-                      body.alias("text"))
-        .filter(F.col("text") != "")
-        .withColumn("kind", F.when((F.col("kind") == "paragraph") & F.col("text").rlike(FIELD_LINE), "field")
-                    .otherwise(F.col("kind")))
-    )
+
+    def block(piece: Column, i: Column) -> Column:
+        tag = F.lower(F.split_part(piece, F.lit("\u0002"), F.lit(1)))
+        body = X.inline_text(F.regexp_replace(
+            F.split_part(piece, F.lit("\u0002"), F.lit(2)), r"(?is)</?(br|article|section|nav|ul|ol|div|body|head|html|table)[^>]*>", " "))
+        kind = F.element_at(kinds, tag)
+        return F.struct(
+            i.cast("long").alias("ord"), F.when((kind == "paragraph") & body.rlike(FIELD_LINE), "field").otherwise(kind).alias("kind"),
+            F.when(tag.rlike("^h[1-6]$"), F.substring(tag, 2, 1).cast("long")).otherwise(F.lit(0)).alias("level"), body.alias("text"))
+
+    blocks = F.transform(pieces, block)
+    return F.filter(blocks, lambda b: (b["ord"] > 0) & (b["text"] != ""))
+
+
+def parse_layout(df: DataFrame, id_col: str = "id", col: str = "html") -> DataFrame:
+    """Layout blocks as rows (id, ord, kind, level, text)."""
+    return df.select(id_col, F.explode(layout_blocks(F.col(col))).alias("b")).select(id_col, "b.*")
 
 
 def layout_of_text(df: DataFrame, id_col: str = "id", col: str = "text") -> DataFrame:
@@ -60,7 +64,7 @@ def layout_of_text(df: DataFrame, id_col: str = "id", col: str = "text") -> Data
 
 
 def assemble_transcript(segments: DataFrame, words_per_second: float = 2.5) -> DataFrame:
-    """Transcript, duration, speakers and segment count per recording.
+    """Transcript, segments, duration, speakers and segment count per recording.
 
     Segments are first joined in chunks of consecutive turns and the chunks then in order,
     so the rows of a long recording are sorted and joined by many tasks; the last step
@@ -70,14 +74,15 @@ def assemble_transcript(segments: DataFrame, words_per_second: float = 2.5) -> D
         "id", "file_name", "turn", "role", "text", F.floor(F.col("turn") / CHUNK).alias("chunk"),
         X.count_tokens(F.col("text")).alias("words"))
     # One sort per chunk; turns are the order, role only breaks ties of equal turns.
+    listed = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
     chunks = seg.groupBy("id", "file_name", "chunk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),
-                                 lambda s: F.concat(s["role"], F.lit(": "), s["text"])), "\n\n").alias("part"),
+        F.array_join(F.transform(listed, lambda s: F.concat(s["role"], F.lit(": "), s["text"])), "\n\n").alias("part"), listed.alias("listed"),
         F.count(F.lit(1)).alias("segments"), F.sum("words").alias("words"),
         F.collect_set("role").alias("roles"))
     return chunks.groupBy("id", "file_name").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "part"))), lambda s: s["part"]),
                      "\n\n").alias("transcript_text"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "listed"))), lambda s: s["listed"])).alias("transcript_segments"),
         F.sum("segments").alias("n_segments"),
         rounded(F.sum("words") / F.lit(float(words_per_second)), 3).alias("audio_duration_secs"),
         F.size(F.array_distinct(F.flatten(F.collect_set("roles")))).cast("long").alias("speaker_count"))

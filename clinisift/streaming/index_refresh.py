@@ -28,6 +28,7 @@ def refresh_index(stream: DataFrame, path: str, checkpoint: str, every: str | No
     return stream.sparkSession.read.schema(POSTINGS).parquet(path).select("term", "id", "tf", "doc_len")
 
 
-def refreshed_index(postings: DataFrame) -> R.Index:
-    """Index over all batches so far: term and corpus counts are sums over the postings."""
-    return R.index_of(postings)
+def refreshed_index(postings: DataFrame, with_vectors: bool = False) -> R.Index:
+    """Index over all batches so far: term and corpus counts are sums over the postings, and
+    vectors are weighted with them."""
+    return R.index_of(postings, with_vectors=with_vectors)

@@ -67,9 +67,11 @@ add("layout_block_counts",
       count(DISTINCT doc_id) AS n_documents FROM (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS t FROM documents)
       WHERE t <> '' GROUP BY 1""")
 
-add("assemble_transcript", lambda s, d: P.assemble_transcript(segments(s, d)),
+add("assemble_transcript",
+    lambda s, d: P.assemble_transcript(segments(s, d)).withColumn("segments_md5", F.md5(F.array_join(
+        F.transform("transcript_segments", lambda x: F.concat(x["turn"].cast("string"), F.lit("|"), x["text"])), "\n"))).drop("transcript_segments"),
     with_(SEGMENTS, q=f"""SELECT id, file_name, string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn, role, text) AS transcript_text,
-      count(*) AS n_segments, {rnd(f"CAST(sum({T.n_tokens('text')}) AS DOUBLE) / CAST(2.5 AS DOUBLE)", 3)} AS audio_duration_secs,
+      md5(string_agg(turn || '|' || text, chr(10) ORDER BY turn, role, text)) AS segments_md5, count(*) AS n_segments, {rnd(f"CAST(sum({T.n_tokens('text')}) AS DOUBLE) / CAST(2.5 AS DOUBLE)", 3)} AS audio_duration_secs,
       count(DISTINCT role) AS speaker_count FROM segs GROUP BY 1, 2"""))
 
 # Fields that do occur in the given texts.

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clinisift.functions import text as X
+from clinisift.operators import parse as P
 from clinisift.plans import checks as C
 from clinisift.sources import bindings as B
 from clinisift.sources import filelog as L
 
 from . import shared
+from . import text_sql as T
+from .insights import AUDIO_SEGMENTS
 from .sql_parts import with_
 
 QUERIES, SQL = {}, {}
@@ -103,16 +107,21 @@ add("table_row_counts", lambda s, d: L.table_row_counts({t: B.table(s, d, t) for
 
 
 def _preview(s, d):
-    raw = {"TXT": ("documents", "doc_id", "text", 500), "PDF": ("pages", "page_id", "html", 300)}
-    return L.preview_first({
-        m: (B.table(s, d, t).select(F.col(i).alias("id"), F.concat(F.lit(f"{t}_"), F.col(i)).alias("file_name"),
-                                    F.col(c).alias("text")), n)
-        for m, (t, i, c, n) in raw.items()})
+    """The first text as it is, the first page and recording as their parsed texts."""
+    docs = B.table(s, d, "documents").select(F.col("doc_id").alias("id"), F.concat(F.lit("documents_"), "doc_id").alias("file_name"), "text")
+    pages = B.table(s, d, "pages").select(F.col("page_id").alias("id"), F.concat(F.lit("pages_"), "page_id").alias("file_name"),
+                                          X.markup_to_text(F.col("html")).alias("text"))
+    talks = B.audio_segments(s, d)
+    first = talks.join(talks.agg(F.min("id").alias("id")), "id")
+    calls = P.assemble_transcript(first).select("id", "file_name", F.col("transcript_text").alias("text"))
+    return L.preview_first({"TXT": (docs, 500), "PDF": (pages, 300), "AUDIO": (calls, 500)})
 
 
 add("preview_first", _preview,
-    """(SELECT 'TXT' AS modality, 'documents_' || doc_id AS file_name, left(text, 500) AS preview FROM documents ORDER BY doc_id LIMIT 1)
-      UNION ALL (SELECT 'PDF', 'pages_' || page_id, left(html, 300) FROM pages ORDER BY page_id LIMIT 1)""")
+    with_(AUDIO_SEGMENTS, q=f"""(SELECT 'TXT' AS modality, 'documents_' || doc_id AS file_name, left(text, 500) AS preview FROM documents ORDER BY doc_id LIMIT 1)
+      UNION ALL (SELECT 'PDF', 'pages_' || page_id, left({T.plain('html')}, 300) FROM pages ORDER BY page_id LIMIT 1)
+      UNION ALL (SELECT 'AUDIO', file_name, left(string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn, role, text), 500)
+        FROM audio_segments WHERE id = (SELECT min(id) FROM audio_segments) GROUP BY 2)"""))
 
 RULES = {
     "region": {"primary_key": ["r_regionkey"], "not_null": ["r_name"]},

@@ -170,7 +170,10 @@ def test_index_refresh_equals_rebuild(spark, tmp_path):
     stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(src)
     for _ in range(2):
         p = IR.refresh_index(stream, str(tmp_path / "post"), str(tmp_path / "ck"))
-    a, b = IR.refreshed_index(p), R.build_index(d)
+    a, b = IR.refreshed_index(p, with_vectors=True), R.build_index(d, with_vectors=True)
+    ask = R.one_query(spark, "heart w3 x7")
+    for search in (R.search_vector, R.search_hybrid):
+        assert [sorted(map(tuple, search(i, ask, 60).collect())) for i in (a, b)][0] == sorted(map(tuple, search(b, ask, 60).collect()))
     assert sorted(map(tuple, a.postings.collect())) == sorted(map(tuple, b.postings.select("term", "id", "tf", "doc_len").collect()))
     assert (a.n_docs, a.total_len) == (b.n_docs, b.total_len)
 

@@ -13,6 +13,8 @@ from .common import WORD, bounded_broadcast, partitions
 MAX_REPEATS = 3
 #: Rows of a source that share one bucket of the order, on average.
 BUCKET_ROWS = 8192
+#: Sources whose table may be broadcast; of more, each source is spread over salts.
+BROADCAST_SOURCES = 100_000
 #: Times the last bucket is gone through for rows that still fit.
 FILL_ROUNDS = 4
 
@@ -137,7 +139,7 @@ def _with_source(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataF
     spark = rows.sparkSession
     right = table.withColumnRenamed("source", "source_")
     same = F.col("source").eqNullSafe(F.col("source_"))
-    if table.limit(100_001).count() <= 100_000:
+    if table.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         return rows.join(F.broadcast(right), same, how).drop("source_")
     salts = max(8, partitions(spark) // 8)
     right = right.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -97,7 +97,7 @@ def brute_targets(sizes, cap=3):
     return target
 
 
-def test_mixing(docs):
+def test_mixing(docs, monkeypatch):
     got = mixing.mix(docs).collect()
     assert len(got) == docs.count()
     sizes = collections.defaultdict(int)
@@ -108,6 +108,8 @@ def test_mixing(docs):
         assert r.source_size == sizes[r.source] and r.target == pytest.approx(target[r.source])
         assert 0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size
     assert collections.Counter(got) == collections.Counter(mixing.mix(docs.repartition(5)).collect())
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)  # sources spread over salts give the same mix
+    assert collections.Counter(got) == collections.Counter(mixing.mix(docs).collect())
 
 
 def test_mixing_comes_near_the_targets(spark):
@@ -474,3 +476,9 @@ def test_empty_tables(none):
     assert queries.bpe_digests(none).count() == 0
     assert repeats.remove_repeats(none).count() == 0
     assert near_dedup.near_dedup(none).count() == 0
+
+
+def test_repeated_and_shuffled_runs_agree(docs):
+    rows = docs.filter("doc_id IS NOT NULL AND length(text) < 10000").dropDuplicates(["doc_id"])
+    for run in (near_dedup.near_dedup, repeats.remove_repeats, exact_dedup.exact_dedup):
+        assert collections.Counter(map(str, run(rows).collect())) == collections.Counter(map(str, run(rows.repartition(5)).collect()))

@@ -21,27 +21,33 @@ def common_findings(insights: DataFrame, k: int = 10) -> DataFrame:
             .orderBy(F.desc("n_records"), "primary_finding").limit(k))
 
 
-def patients_in_all_modalities(insights: DataFrame) -> DataFrame:
+def of_patients(insights: DataFrame, links: DataFrame) -> DataFrame:
+    """Insights of resolved patients; ``links`` maps (source_type, record_id) to a patient_id."""
+    known = links.filter(F.col("patient_id").isNotNull()).select("source_type", "record_id", "patient_id")
+    return insights.join(known, ["source_type", "record_id"])
+
+
+def patients_in_all_modalities(insights: DataFrame, links: DataFrame) -> DataFrame:
     """Patients with documents, text files and recordings, and how many of each."""
     s = F.col("source_type")
-    per = insights.filter(F.col("patient_name").isNotNull()).groupBy("patient_name").agg(
+    per = of_patients(insights, links).groupBy("patient_id").agg(
         *[F.count(F.when(s == m, 1)).alias(f"n_{m.lower()}") for m in ("PDF", "TXT", "AUDIO")])
     return per.filter((F.col("n_pdf") > 0) & (F.col("n_txt") > 0) & (F.col("n_audio") > 0))
 
 
-def compare_modalities(insights: DataFrame) -> DataFrame:
+def compare_modalities(insights: DataFrame, links: DataFrame) -> DataFrame:
     """PDF and TXT findings of each patient side by side: how many they share and how many
     only one side has. Counted per (patient, finding) first, so no patient's documents are
     paired with each other or gathered in a list."""
     s, score = F.col("source_type"), F.col("sentiment_score")
     per_finding = (
-        insights.filter(s.isin("PDF", "TXT") & F.col("patient_name").isNotNull()).groupBy("patient_name", "primary_finding")
+        of_patients(insights, links).filter(s.isin("PDF", "TXT")).groupBy("patient_id", "primary_finding")
         .agg(F.count(F.when(s == "PDF", 1)).alias("p"), F.count(F.when(s == "TXT", 1)).alias("t"),
              F.max(F.when(s == "PDF", score)).alias("ps"), F.max(F.when(s == "TXT", score)).alias("ts"))
     )
     p, t = F.col("p") > 0, F.col("t") > 0
     known = F.col("primary_finding").isNotNull()
-    per = per_finding.groupBy("patient_name").agg(
+    per = per_finding.groupBy("patient_id").agg(
         F.sum("p").alias("n_pdf"), F.sum("t").alias("n_txt"),
         F.count(F.when(known & p & t, 1)).alias("n_shared_findings"), F.count(F.when(known & p & ~t, 1)).alias("n_pdf_only"),
         F.count(F.when(known & t & ~p, 1)).alias("n_txt_only"),
@@ -81,7 +87,7 @@ def patient_360(insights: DataFrame, links: DataFrame, claims: DataFrame, appoin
     patient on their own and stacked, so none multiplies another.
     """
     s = F.col("source_type")
-    recs = insights.join(links, ["source_type", "record_id"]).groupBy("patient_id").agg(
+    recs = of_patients(insights, links).groupBy("patient_id").agg(
         *[F.count(F.when(s == m, 1)).alias(f"n_{m.lower()}") for m in ("PDF", "TXT", "AUDIO")])
     cl = claims.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n_claims"), F.round(F.sum("billed_amount").cast("double"), 2).alias("total_billed"))
     ap = appointments.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n_appointments"), F.max("appointment_date").alias("last_visit"))

@@ -267,21 +267,6 @@ add("function_coverage", _coverage, isql(_coverage_sql()))
 add("common_findings", lambda s, d: Q.common_findings(insights(s, d)),
     isql("""SELECT primary_finding, count(*) AS n_records FROM insights WHERE primary_finding IS NOT NULL GROUP BY 1
       ORDER BY n_records DESC, primary_finding LIMIT 10"""))
-add("patients_in_all_modalities", lambda s, d: Q.patients_in_all_modalities(insights(s, d)),
-    isql("""SELECT patient_name, count(*) FILTER (source_type='PDF') AS n_pdf, count(*) FILTER (source_type='TXT') AS n_txt,
-      count(*) FILTER (source_type='AUDIO') AS n_audio FROM insights WHERE patient_name IS NOT NULL GROUP BY 1
-      HAVING count(DISTINCT source_type) = 3"""))
-add("compare_modalities", lambda s, d: Q.compare_modalities(insights(s, d)),
-    isql("""SELECT a.patient_name, a.n AS n_pdf, b.n AS n_txt, len(list_intersect(a.f, b.f)) AS n_shared_findings,
-      len(list_filter(a.f, lambda x: NOT list_contains(b.f, x))) AS n_pdf_only, len(list_filter(b.f, lambda x: NOT list_contains(a.f, x))) AS n_txt_only,
-      a.m AS pdf_max_sentiment, b.m AS txt_max_sentiment,
-      len(list_filter(a.f, lambda x: NOT list_contains(b.f, x))) + len(list_filter(b.f, lambda x: NOT list_contains(a.f, x))) > 0 AS differs
-      FROM (SELECT patient_name, count(*) AS n, list(DISTINCT primary_finding) FILTER (primary_finding IS NOT NULL) AS f, max(sentiment_score) AS m
-            FROM insights WHERE source_type='PDF' GROUP BY 1) a
-      JOIN (SELECT patient_name, count(*) AS n, list(DISTINCT primary_finding) FILTER (primary_finding IS NOT NULL) AS f, max(sentiment_score) AS m
-            FROM insights WHERE source_type='TXT' GROUP BY 1) b ON a.patient_name = b.patient_name"""))
-
-
 def has(text, terms):
     return f"regexp_matches(' ' || {T.toktext(text)} || ' ', ' ({'|'.join(terms)}) ')"
 
@@ -374,13 +359,34 @@ add("visit_recording_link", lambda s, d: K.visit_recording_link(_recordings(s, d
         AND e.event_id % 10 = r.provider_id AND e.ts <= r.recorded_at ORDER BY ts DESC, event_id DESC LIMIT 1) AS appointment_id FROM r""")
 
 
-def _p360(s, d):
-    ins = insights(s, d)
-    recs = ins.select(F.concat_ws("-", "source_type", "record_id").alias("record_id"), F.col("patient_name").alias("name"))
+LINKED = "linked AS (SELECT c_custkey AS patient_id, insights.* FROM insights JOIN customer ON patient_name = c_name)"
+
+
+def links(s, d):
+    """(source_type, record_id, patient_id) of all records with a resolved patient."""
+    recs = insights(s, d).select(F.concat_ws("-", "source_type", "record_id").alias("record_id"), F.col("patient_name").alias("name"))
     linked = K.resolve_patient(recs, master(s, d)).filter(F.col("patient_id").isNotNull())
-    links = linked.select(F.split_part("record_id", F.lit("-"), F.lit(1)).alias("source_type"),
-                          F.split_part("record_id", F.lit("-"), F.lit(2)).cast("long").alias("record_id"), "patient_id")
-    return Q.patient_360(ins, links, B.claims(s, d), B.appointments(s, d))
+    return linked.select(F.split_part("record_id", F.lit("-"), F.lit(1)).alias("source_type"),
+                         F.split_part("record_id", F.lit("-"), F.lit(2)).cast("long").alias("record_id"), "patient_id")
+
+
+add("patients_in_all_modalities", lambda s, d: Q.patients_in_all_modalities(insights(s, d), links(s, d)),
+    isql("""SELECT patient_id, count(*) FILTER (source_type='PDF') AS n_pdf, count(*) FILTER (source_type='TXT') AS n_txt,
+      count(*) FILTER (source_type='AUDIO') AS n_audio FROM linked GROUP BY 1
+      HAVING count(DISTINCT source_type) = 3""", LINKED))
+add("compare_modalities", lambda s, d: Q.compare_modalities(insights(s, d), links(s, d)),
+    isql("""SELECT a.patient_id, a.n AS n_pdf, b.n AS n_txt, len(list_intersect(a.f, b.f)) AS n_shared_findings,
+      len(list_filter(a.f, lambda x: NOT list_contains(b.f, x))) AS n_pdf_only, len(list_filter(b.f, lambda x: NOT list_contains(a.f, x))) AS n_txt_only,
+      a.m AS pdf_max_sentiment, b.m AS txt_max_sentiment,
+      len(list_filter(a.f, lambda x: NOT list_contains(b.f, x))) + len(list_filter(b.f, lambda x: NOT list_contains(a.f, x))) > 0 AS differs
+      FROM (SELECT patient_id, count(*) AS n, list(DISTINCT primary_finding) FILTER (primary_finding IS NOT NULL) AS f, max(sentiment_score) AS m
+            FROM linked WHERE source_type='PDF' GROUP BY 1) a
+      JOIN (SELECT patient_id, count(*) AS n, list(DISTINCT primary_finding) FILTER (primary_finding IS NOT NULL) AS f, max(sentiment_score) AS m
+            FROM linked WHERE source_type='TXT' GROUP BY 1) b ON a.patient_id = b.patient_id""", LINKED))
+
+
+def _p360(s, d):
+    return Q.patient_360(insights(s, d), links(s, d), B.claims(s, d), B.appointments(s, d))
 
 
 add("patient_360", _p360,

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 # Closed label sets.
 DOCUMENT_LABELS = ["Lab Report", "Discharge Summary", "Prescription", "Radiology Report",
                    "Insurance Claim", "Referral Letter", "Clinical Notes", "Pathology Report"]
 TEXT_LABELS = [*DOCUMENT_LABELS, "Patient Intake Form", "Nursing Notes"]
 CONSULTATION_LABELS = ["Initial Consultation", "Follow-Up Visit", "Specialist Referral", "Prescription Review",
                        "Lab Results Discussion", "Mental Health Session", "Insurance Discussion", "Emergency Consultation"]
-LANGUAGES = ["English", "Spanish", "French", "German", "Portuguese", "Chinese", "Japanese", "Korean", "Arabic"]
 
 # Dimensions scored next to the overall sentiment.
 DOCUMENT_DIMENSIONS = ["urgency", "clinical_concern", "patient_satisfaction"]
@@ -104,7 +101,3 @@ def aspect_rows(aspects: dict[str, tuple[str, str]], dims: list[str]) -> list[tu
         for words, w in zip(aspects[d], (1.0, -1.0)):
             rows += [("aspect", d, t, w) for t in words.split()]
     return rows
-
-
-def lexicon_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, "family string, label string, term string, weight double")

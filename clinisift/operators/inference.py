@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import join_hot_split, materialize
 
-# Instruction texts for documents and for consultations.
+# Instruction texts for documents and for consultations.
 INSIGHT_PROMPT = ("Read the medical document below. List its three most important findings, then anything that needs "
                   "action at once, then what should be followed up.\n\n")
 NOTES_PROMPT = ("Turn the consultation below into notes under four headings: subjective, objective, assessment, plan.\n\n")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # Rows a side may have before it is broadcast. Rows here are narrow (a term and a
 # weight, a key and a rank), so this stays far below a tenth of an executor's memory.
 BROADCAST_ROWS = 500_000
+# Bytes it may have by the optimizer's estimate (file size for a written table), so that wide
+# rows are not sent around because they are few.
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str | None = None, app: str = "clinisift", **conf) -> SparkSession:
@@ -73,17 +76,21 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate of ``df`` is below the session's broadcast limit."""
+    """Whether the estimated size of ``df`` is below the session's broadcast limit."""
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return plan_bytes(df) <= int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when a bounded count proves the side small; else the plain frame,
-    which the optimizer then joins by shuffling."""
-    if df.limit(max_rows + 1).count() <= max_rows:
+    """Broadcast hint when a bounded count and the estimated bytes prove the side small; else
+    the plain frame, which the optimizer then joins by shuffling."""
+    if plan_bytes(df) <= BROADCAST_BYTES and df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
 
@@ -99,7 +106,7 @@ def join_hot_split(
     that is small as a whole is broadcast at once.
     """
     stats = right.agg(F.sum(weight).alias("total"), F.count(F.lit(1)).alias("n")).first()
-    if stats["n"] <= BROADCAST_ROWS:
+    if stats["n"] <= BROADCAST_ROWS and plan_bytes(right) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), keys)
     limit = max(1, (stats["total"] or 0) // hot_keys)
     hot = right.filter(F.col(weight) > limit)

@@ -15,8 +15,9 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bin
 
 
 def base_name(path: Column) -> Column:
-    """Last part of a path; a folder ``file_name=<name>`` around a part file gives its name."""
-    folder = F.regexp_extract(path, r"/file_name=([^/]+)/", 1)
+    """Last part of a path; a part file that :func:`export_files` has written into a folder
+    ``file_name=<name>`` bears that name."""
+    folder = F.regexp_extract(path, r"/file_name=([^/]+)/part-[0-9]{5}-[^/]*$", 1)
     return F.when(folder != "", folder).otherwise(F.element_at(F.split(path, "/"), -1))
 
 

@@ -13,6 +13,8 @@ import regex
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from .common import tidy_batches
+
 #: UTF-8 bytes of text whose words share one index.
 BLOCK_BYTES = 4 << 20
 #: Words whose encoding a task remembers before it starts afresh.
@@ -238,7 +240,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
                     [keys.slice(start, end - start), pa.ListArray.from_arrays(offsets, pa.array(flat))], ["doc_id", "ids"])
 
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema[0].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(tidy_batches(run), f"doc_id {rows.schema[0].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
@@ -262,4 +264,4 @@ def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, text], ["doc_id", "ids", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy_batches(run), f"doc_id {kind}, ids array<int>, decoded string")

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import tidy_batches
 from .labelled_pages import LABELLED_PAGES
 
 _words = lambda s: frozenset(s.split())
@@ -252,4 +253,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     ["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(run, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars bigint")
+    return rows.mapInArrow(tidy_batches(run), f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars bigint")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from clinisift.session import join_hot_split, materialize
 
-from .common import partitions
+from .common import partitions, tidy_group
 from .words import mixed, row_words
 
 #: Words in a shingle; shingles two documents must share, in hundredths of their union.
@@ -149,10 +149,10 @@ def prefixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(partitions(spark), math.ceil(size / BLOCK_BYTES))
     texts = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    counted = texts.groupBy("block").applyInArrow(lambda t: count_block(t, blocks), "bucket int, block int, hashes binary")
-    shared = counted.groupBy("bucket").applyInArrow(shared_of_bucket, "block int, shared binary")
+    counted = texts.groupBy("block").applyInArrow(tidy_group(lambda t: count_block(t, blocks)), "bucket int, block int, hashes binary")
+    shared = counted.groupBy("bucket").applyInArrow(tidy_group(shared_of_bucket), "block int, shared binary")
     found = texts.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-        prefixes_of_block, "doc_id bigint, n bigint, alone int, prefix array<bigint>, tokens array<bigint>, da bigint, db bigint")
+        tidy_group(prefixes_of_block), "doc_id bigint, n bigint, alone int, prefix array<bigint>, tokens array<bigint>, da bigint, db bigint")
     return materialize(found, "near-prefixes")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from clinisift.session import materialize
 
-from .common import partitions
+from .common import partitions, tidy_batches, tidy_group
 from .words import CHUNK_BYTES, chunks, mixed, powers, texts_of
 
 #: Bytes that a repeated string has at least.
@@ -119,7 +119,7 @@ def runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     pa.array(anchor.view(np.int64)), pa.array(around.view(np.int64)), pa.array(times)],
                     ["key", "start", "stop", "anchor", "around", "times"])
 
-    return docs.mapInArrow(run, "key bigint, start int, stop int, anchor bigint, around bigint, times bigint")
+    return docs.mapInArrow(tidy_batches(run), "key bigint, start int, stop int, anchor bigint, around bigint, times bigint")
 
 
 def equal_classes(texts: list[bytes], starts: list[int], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -300,7 +300,7 @@ def bodies(docs: DataFrame, wanted: DataFrame, parts: int, length: int) -> DataF
         if crowds:
             yield table(dealt())
 
-    return rows.mapInArrow(run, "part int, key bigint, start bigint, crowd boolean, body binary")
+    return rows.mapInArrow(tidy_batches(run), "part int, key bigint, start bigint, crowd boolean, body binary")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -319,7 +319,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = materialize(shared.filter("compare").select("one.*", "anchor", "crowd"), "repeat-wanted")
     parts = max(partitions(spark), math.ceil(wanted.count() * (length * 3 // 2) / PART_BYTES))
     part = bodies(docs, wanted, parts, length).groupBy("part").applyInArrow(
-        lambda t: spans_of_part(t, length), "key bigint, from bigint, upto bigint")
+        tidy_group(lambda t: spans_of_part(t, length)), "key bigint, from bigint, upto bigint")
     return materialize(whole.unionByName(part), "repeat-spans")
 
 
@@ -369,4 +369,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
     joined = rows.join(per_text, "key", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<from: bigint, upto: bigint>>, kept binary")
+    return joined.mapInArrow(tidy_batches(run), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<from: bigint, upto: bigint>>, kept binary")

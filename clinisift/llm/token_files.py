@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import encode
+from .common import tidy_batches
 
 #: End-of-document and padding ids, above those of the vocabulary. As two bytes each is a
 #: letter of UTF-8, so that Spark's text sink can write it as the line separator.
@@ -45,7 +46,7 @@ def write_token_files(docs: DataFrame, vocab_path: str, path: str, block_bytes:
             fill = -(written + 2) % block_bytes or block_bytes
             yield pa.RecordBatch.from_arrays([pa.array([PAD.to_bytes(2, "big") * (fill // 2)], pa.binary())], ["value"])
 
-    rows = encode(docs, vocab_path).mapInArrow(run, "value binary")
+    rows = encode(docs, vocab_path).mapInArrow(tidy_batches(run), "value binary")
     end = END.to_bytes(2, "big").decode("utf-8")
     rows.select(F.col("value").cast("string")).write.option("lineSep", end).text(path)
 

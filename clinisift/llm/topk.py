@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from clinisift.session import materialize
 
+from .common import tidy_batches, tidy_group
+
 #: Pivots: the vectors with the smallest hashes, so many per dimension count at most.
 PIVOTS = 24
 #: Rows of the pivot table in one block, and queries in one block.
@@ -56,7 +58,7 @@ def pivot_table(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
                 [ids, b.column(1), b.column(2), pa.array(norms), pa.array(dists, pa.list_(pa.float64()))], ["id", "v", "dim", "norm2", "dist"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    table = rows.mapInArrow(run, f"id {kind}, v array<bigint>, dim int, norm2 double, dist array<double>")
+    table = rows.mapInArrow(tidy_batches(run), f"id {kind}, v array<bigint>, dim int, norm2 double, dist array<double>")
     return materialize(table.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")), "pivot-table")
 
 
@@ -140,7 +142,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, block_queries: int = B
     queries = queries.drop("block").toDF("id", "v", "dim", "norm2", "dist").withColumn("q_block", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(q_blocks)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = queries.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInArrow(
-        lambda a, b: best_of_block(a, b, k), "query_id bigint, vec_id bigint, score bigint")
+        tidy_group(lambda a, b: best_of_block(a, b, k)), "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy_batches
 from .words import row_words
 
 #: Labelled rows the model is fitted on, at most: those with the smallest hashes of their ids.
@@ -50,7 +51,7 @@ def _distinct_words(docs: DataFrame) -> DataFrame:
             words = [np.unique(w).view(np.int64) for _, w in row_words(b.column(1), letters=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.list_(pa.int64()))], ["label", "words"])
 
-    return docs.mapInArrow(run, "label int, words array<bigint>")
+    return docs.mapInArrow(tidy_batches(run), "label int, words array<bigint>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, grades: int = GRADES, stand_out: float = STAND_OUT) -> SeverityModel:
@@ -145,24 +146,24 @@ def score(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", text_co
     Map side only, whole texts. Null and empty texts have no features.
     """
     kind = "toxicity struct<severity: double, p_toxic: double, grade: int, toxic: boolean>"
+    at = docs.columns.index(text_col)
     fields = ", ".join(f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             eta = np.zeros(b.num_rows)
-            for k, words in row_words(b.column(b.num_columns - 1), letters=True):
+            for k, words in row_words(b.column(at), letters=True):
                 eta[k] = model.weights[_present(model.features, words)].sum()
             p = model.at_least(eta)
             each = -np.diff(np.c_[np.ones(len(p)), p, np.zeros(len(p))], axis=1)
             result = pa.StructArray.from_arrays(
                 [pa.array(p.sum(axis=1)), pa.array(p[:, 0]), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(p[:, 0] >= model.reject)],
                 ["severity", "p_toxic", "grade", "toxic"])
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], result], [*b.schema.names[:-1], "toxicity"])
+            yield pa.RecordBatch.from_arrays([*b.columns, result], [*b.schema.names, "toxicity"])
 
     rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    rows = rows.withColumn("text_", F.col(f"c{docs.columns.index(text_col)}"))
     names = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    return rows.mapInArrow(run, f"{fields}, {kind}").select(*names, "toxicity")
+    return rows.mapInArrow(tidy_batches(run), f"{fields}, {kind}").select(*names, "toxicity")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

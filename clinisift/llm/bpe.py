@@ -9,16 +9,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 
-from .common import tidy_batches
+from .common import give_back, tidy_batches
 
 #: UTF-8 bytes of text whose words share one index.
 BLOCK_BYTES = 4 << 20
 #: Words whose encoding a task remembers before it starts afresh.
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 100_000
 #: Long texts are read in pieces of about so many characters, cut before white space.
 PIECE_CHARS = 1 << 20
 
@@ -218,8 +218,9 @@ def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
         start = end
 
 
-def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id and ids, the token ids of the whole text.
+def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id and ids, the token ids of the whole text; with
+    ``decoded`` also what :func:`decode` makes of the ids, in the same pass.
 
     Map side only. The distinct words of a block of rows are encoded together through one
     pair occurrence index (``encode_words``); texts are then put together from their words.
@@ -228,19 +229,34 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     repeated rows; very long texts are read in pieces; an empty table gives no rows; further
     columns are ignored. The tokenizer file is read by its path in every task.
     """
+    names = ["doc_id", "ids", *["decoded"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(Vocabulary(vocab_path))
+        vocab = Vocabulary(vocab_path)
+        coder, tokens = Coder(vocab), token_strings(vocab) if decoded else None
+        give_back()  # what reading the file took
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for start, end in _blocks(texts):
                 flat, counts = coder.encode(texts.slice(start, end - start).to_pylist())
-                offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [keys.slice(start, end - start), pa.ListArray.from_arrays(offsets, pa.array(flat))], ["doc_id", "ids"])
+                offsets = np.r_[0, np.cumsum(counts)]
+                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+                said = [joined(tokens, ids.values, offsets)] if decoded else []
+                yield pa.RecordBatch.from_arrays([keys.slice(start, end - start), ids, *said], names)
 
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(tidy_batches(run), f"doc_id {rows.schema[0].dataType.simpleString()}, ids array<int>")
+    kind = rows.schema[0].dataType.simpleString()
+    return rows.mapInArrow(tidy_batches(run), f"doc_id {kind}, ids array<int>" + ", decoded string" * decoded)
+
+
+def token_strings(vocab: Vocabulary) -> pa.Array:
+    return pa.array([vocab.token.get(i) for i in range(max(vocab.token) + 1)], pa.large_string())
+
+
+def joined(tokens: pa.Array, ids: pa.Array, offsets: np.ndarray) -> pa.Array:
+    """The tokens of each list of ids with one space between them."""
+    lists = pa.LargeListArray.from_arrays(pa.array(offsets.astype(np.int64)), tokens.take(ids))
+    return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
 def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
@@ -251,16 +267,14 @@ def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = Vocabulary(vocab_path)
-        tokens = pa.array([vocab.token.get(i) for i in range(max(vocab.token) + 1)], pa.large_string())
+        tokens = token_strings(Vocabulary(vocab_path))
+        give_back()
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
                 ids = part.column(1)
-                lists = pa.LargeListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))].astype(np.int64)),
-                    tokens.take(ids.flatten()))
-                text = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
+                lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+                text = joined(tokens, ids.flatten(), np.r_[0, np.cumsum(lengths)])
                 yield pa.RecordBatch.from_arrays([*part.columns, text], ["doc_id", "ids", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()

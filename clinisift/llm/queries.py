@@ -24,7 +24,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame, vocab_path: str = WORD_BPE) -> DataFrame:
-    coded = bpe.decode(bpe.encode(docs, vocab_path), vocab_path)
+    coded = bpe.encode(docs, vocab_path, decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

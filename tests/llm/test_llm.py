@@ -158,6 +158,10 @@ def test_bpe(docs, library):
         said = library.decode(ids, skip_special_tokens=False)
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(said.encode()).hexdigest()))
     assert got == collections.Counter(want)
+    coded = bpe.decode(bpe.encode(docs, VOCAB), VOCAB)
+    assert collections.Counter((r.doc_id, r.decoded) for r in coded.collect()) == collections.Counter(
+        (i, library.decode(library.encode(t, add_special_tokens=False).ids, skip_special_tokens=False)) for i, t in texts_by_row(docs))
+    assert [r.decoded for r in bpe.decode(coded.limit(1).selectExpr("doc_id", "cast(null as array<int>) as ids"), VOCAB).collect()] == [""]
 
 
 def test_bpe_pieces_and_blocks(library, monkeypatch):

@@ -26,7 +26,7 @@ QUERIES = [
     "append_files_log", "dedup_arrivals", "parse_text", "parse_layout", "assemble_transcript", "extract_fields", "classify",
     "sentiment_score", "detect_language", "translate_if_needed", "redact", "summarize", "key_insights", "summarize_agg", "embed",
     "similarity_pairs", "similarity_candidates", "nearest_neighbors", "batch_infer", "search_lexical", "search_vector",
-    "search_hybrid", "search_batch", "combined_insights", "resolve_patient", "visit_recording_link", "patient_360",
+    "search_hybrid", "search_batch", "search_filtered", "search_filtered_hybrid", "search_federated", "refresh_index", "combined_insights", "resolve_patient", "visit_recording_link", "patient_360",
 ]
 
 

@@ -107,13 +107,15 @@ def runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             keys = b.column(0).to_numpy()
             for data, limits, row0, shift in windows(b.column(1), length):
                 row, first, last, anchor, around = runs_of(data, limits, length)
+                if not len(first):
+                    continue
                 order = np.lexsort((first, around, anchor, row))
                 same = np.r_[False, (row[order][1:] == row[order][:-1]) & (anchor[order][1:] == anchor[order][:-1]) & (around[order][1:] == around[order][:-1])]
                 head = np.flatnonzero(~same)
                 times = np.zeros(len(order), np.int64)
                 times[head] = np.diff(np.r_[head, len(order)])
                 row, first, last, anchor, around = (x[order] for x in (row, first, last, anchor, around))
-                base = limits[row] if len(row) else first
+                base = limits[row]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys[row0 + row]), pa.array((first - base + shift).astype(np.int32)), pa.array((last - base + shift).astype(np.int32)),
                     pa.array(anchor.view(np.int64)), pa.array(around.view(np.int64)), pa.array(times)],

@@ -15,7 +15,7 @@ def normal_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.trim(c), r"^(dr|mr|mrs|ms|prof) ", ""))
 
 
-# A longer string is no name of a person: it is matched as it stands only.
+# Deletions grow with the square of the length: longer names meet by their thirds instead.
 MAX_NAME = 64
 
 
@@ -33,13 +33,31 @@ def deletions(name: Column) -> Column:
     return F.array_distinct(F.concat(F.array(name), one, two))
 
 
+def third(name: Column, of: Column, i: int, shift: int = 0) -> Column:
+    """What a name holds, moved by ``shift``, where third ``i`` of a name of length ``of`` stands, with both."""
+    start, end = (F.floor(of * k / 3).cast("int") for k in (i, i + 1))
+    return F.struct(of.alias("of"), F.lit(i).alias("i"), F.substr(name, start + shift + 1, end - start).alias("piece"))
+
+
+def thirds_within_two(name: Column) -> Column:
+    """All thirds that a name at most two edits away can have in common with this one.
+
+    Two edits leave one third intact. Those before it move it, those after it make up the
+    rest of the difference in length, and they are two in all.
+    """
+    n = F.length(name)
+    moves = [(more, shift) for more in range(-2, 3) for shift in range(-2, 3) if abs(shift) + abs(more - shift) <= 2]
+    return F.array_distinct(F.array(*[third(name, n - more, i, shift) for more, shift in moves for i in range(3)]))
+
+
 def resolve_patient(records: DataFrame, master: DataFrame) -> DataFrame:
     """Master record for every (record_id, name): (record_id, patient_id, distance, n_candidates).
 
     Equal normal names win. Only distinct names without one go on, and find near names
     (edit distance at most 2) through shared deletions: two strings that close have a common
     string left after two deletions each, so candidates meet by equality and no block of
-    similar names is ever paired with itself. Master names are distinct too.
+    similar names is ever paired with itself. Names of more than MAX_NAME characters meet
+    the master names that have a third in common with them. Master names are distinct too.
 
     A name that several patients bear at the best distance is not given to one of them:
     patient_id is NULL and n_candidates says how many there are.
@@ -51,13 +69,19 @@ def resolve_patient(records: DataFrame, master: DataFrame) -> DataFrame:
     # Distinct names keep a frequent name from being looked up once per record.
     names = materialize(r.filter(F.col("r_name") != "").groupBy("r_name").agg(F.count(F.lit(1)).alias("records")), "record-names")
     exact = names.join(m, F.col("r_name") == F.col("m_name")).select("r_name", "patient_id", F.lit(0).alias("distance"), "n")
-    missing = names.join(m, F.col("r_name") == F.col("m_name"), "left_anti").filter(F.length("r_name") <= MAX_NAME)
-    a = materialize(missing.select("r_name", F.explode(deletions(F.col("r_name"))).alias("form")), "record-forms")
+    missing = materialize(names.join(m, F.col("r_name") == F.col("m_name"), "left_anti").select("r_name"), "missing-names")
+    short = missing.filter(F.length("r_name") <= MAX_NAME)
+    a = materialize(short.select("r_name", F.explode(deletions(F.col("r_name"))).alias("form")), "record-forms")
     b = m.filter(F.length("m_name") <= MAX_NAME + 2).select("m_name", "patient_id", "n", F.explode(deletions(F.col("m_name"))).alias("form"))
+    long_a = materialize(
+        missing.filter(F.length("r_name") > MAX_NAME).select("r_name", F.explode(thirds_within_two(F.col("r_name"))).alias("form")), "record-thirds")
+    parts = F.array(*[third(F.col("m_name"), F.length("m_name"), i) for i in range(3)])
+    long_b = m.filter(F.length("m_name") >= MAX_NAME - 1).select("m_name", "patient_id", "n", F.explode(parts).alias("form"))
     # Names left unresolved are usually few: then the forms of the master list stay put.
+    met = b.join(broadcast_if_small(a), "form").drop("form").unionByName(long_b.join(broadcast_if_small(long_a), "form").drop("form"))
     close = (
-        b.join(broadcast_if_small(a), "form").select("r_name", "m_name", "patient_id", "n").distinct()
-        .withColumn("distance", F.levenshtein("r_name", "m_name")).filter(F.col("distance") <= 2)
+        met.select("r_name", "m_name", "patient_id", "n").distinct()
+        .withColumn("distance", F.levenshtein("r_name", "m_name", 2)).filter(F.col("distance").between(0, 2))
         .groupBy("r_name", "distance").agg(F.min("patient_id").alias("patient_id"), F.sum("n").alias("n"))
         .groupBy("r_name").agg(F.min(F.struct("distance", "patient_id", "n")).alias("best"))
         .select("r_name", F.col("best.patient_id").alias("patient_id"), F.col("best.distance").alias("distance"), F.col("best.n").alias("n"))

@@ -235,3 +235,27 @@ def test_recordings_without_a_patient_keep_their_row(spark):
     v = spark.createDataFrame([(1, 1, 1, t), (2, None, 1, t)], "appointment_id long, patient_id long, provider_id long, appointment_date timestamp_ntz")
     r = spark.createDataFrame([(5, 1, 1, t), (6, None, 1, t), (7, 1, None, t), (8, 1, 1, None)], "recording_id long, patient_id long, provider_id long, recorded_at timestamp_ntz")
     assert {x["recording_id"]: x["appointment_id"] for x in K.visit_recording_link(r, v).collect()} == {5: 1, 6: None, 7: None, 8: None}
+
+
+def test_resolution_finds_near_names_of_any_length(spark):
+    rng = np.random.default_rng(11)
+
+    def word(n):
+        return "".join(rng.choice(list("abcdefgh"), n))
+
+    def edited(name, edits):
+        for _ in range(edits):
+            at, how = int(rng.integers(0, len(name))), rng.integers(0, 3)
+            name = name[:at] + ("" if how == 0 else "xyz"[rng.integers(0, 3)]) + name[at + (how < 2):]
+        return name
+
+    names = [word(n) for n in (62, 63, 64, 65, 66, 67, 68, 70, 71, 72, 200, 400)]
+    asked = [names[7][:35] + "z" + names[7][36:]] + [edited(n, e) for n in names for e in (1, 1, 2, 2, 2, 2, 3)] + ["x" + names[8] + "y", names[9][2:], names[9][:-2]]
+    master = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, patient_id long")
+    rec = spark.createDataFrame([(i, n) for i, n in enumerate(asked)], "record_id long, name string")
+    got = {r["record_id"]: (r["patient_id"], r["distance"]) for r in K.resolve_patient(rec, master).collect()}
+    assert len(asked[0]) == 70 and got[0] == (7, 1)
+    for i, n in enumerate(asked):
+        near = [(lev(n, m), k) for k, m in enumerate(names) if abs(len(m) - len(n)) <= 2]
+        d, k = min(near, default=(9, None))
+        assert got[i] == ((k, d) if d <= 2 else (None, None)), (i, n)

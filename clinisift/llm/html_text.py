@@ -56,7 +56,7 @@ class Block:
 
 
 def kind_of(tag: str, attributes: str, in_body: bool) -> str:
-    """"frame", "body" or "" for an element that opens."""
+    """"frame", "form", "named" (a frame by its class or id only), "body" or "" for an element that opens."""
     found, role, hidden = set(), "", False
     if attributes:
         for m in ATTRIBUTE.finditer(attributes):
@@ -67,23 +67,43 @@ def kind_of(tag: str, attributes: str, in_body: bool) -> str:
                 hidden = hidden or name == "hidden" or value.lower() == "true"
             else:
                 found.update(w.lower() for w in re.split(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])", value) if w)
-    if tag in FRAME_TAGS or role in FRAME_ROLES or hidden or tag == "header" and not in_body:
+    if hidden or tag in FRAME_TAGS - {"form"} or role in FRAME_ROLES - {"form"} or tag == "header" and not in_body:
         return "frame"
+    if tag == "form" or role == "form":
+        return "form"
     named_frame, named_body = bool(found & FRAME_WORDS), bool(found & BODY_WORDS)
     if named_frame and not named_body and tag not in ("html", "body", "main", "header"):
-        return "frame"
+        return "named"
     if tag in BODY_TAGS or role == "main" or named_body and not named_frame and tag not in ("html", "body", "p", "span", "a"):
         return "body"
     return ""
 
 
+@dataclass(eq=False)
+class Wrapper:
+    """A form, or an element named like a frame: one unless what it holds says otherwise."""
+
+    form: bool
+    start: int  # blocks before it
+    articles: int  # articles before it
+    lifted: int = 0  # open elements inside that say it is none
+    end: int = -1
+
+
 def blocks_of(page: str) -> list[Block]:
-    """Flat text blocks of a page in order: runs of text between block-level tags, without empty ones."""
+    """Flat text blocks of a page in order: runs of text between block-level tags, without empty ones.
+
+    A form is no frame to a body element inside it, nor is an element named like a frame to an
+    article or main element inside it, unless an article came before (comments and teasers are
+    often articles too). Neither is one to any block if it holds all blocks of the page.
+    """
     out: list[Block] = []
+    inside: list[list[Wrapper]] = []  # of each block: the wrappers that make it a frame
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, str]] = []  # open elements and their kinds
-    frames = bodies = links = heading = skipped = 0
+    stack: list[tuple[str, str, Wrapper | None, list[Wrapper]]] = []  # open elements, their kinds, themselves as wrappers, wrappers they lift
+    wrappers: list[Wrapper] = []
+    frames = bodies = links = heading = skipped = articles = 0
 
     def close() -> None:
         if parts:
@@ -91,6 +111,7 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 n = text.count(" ") + 1
                 in_links = len(html.unescape(" ".join(linked)).split()) if linked else 0
+                inside.append([w for w in wrappers if not w.lifted])
                 out.append(Block(text, frames > 0, bodies > 0, heading > 0, n, min(1.0, in_links / n)))
         parts.clear()
         linked.clear()
@@ -98,7 +119,12 @@ def blocks_of(page: str) -> list[Block]:
     def drop(upto: int) -> None:
         nonlocal frames, bodies, links, heading, skipped
         while len(stack) > upto:
-            tag, kind = stack.pop()
+            tag, kind, wrapper, lifts = stack.pop()
+            if wrapper:
+                wrapper.end = len(out)
+                wrappers.remove(wrapper)
+            for w in lifts:
+                w.lifted -= 1
             frames -= kind == "frame"
             bodies -= kind == "body"
             links -= tag == "a"
@@ -135,7 +161,7 @@ def blocks_of(page: str) -> list[Block]:
                     break
                 if stack[i][0] in ("ul", "ol", "table", "div", "article", "section", "blockquote") and tag != "a":
                     break
-        elif tag in BLOCK_TAGS and stack and any(t == "p" for t, _ in stack[-4:]):  # a block ends an open paragraph
+        elif tag in BLOCK_TAGS and stack and any(x[0] == "p" for x in stack[-4:]):  # a block ends an open paragraph
             for i in range(len(stack) - 1, max(-1, len(stack) - 5), -1):
                 if stack[i][0] == "p":
                     drop(i)
@@ -143,13 +169,26 @@ def blocks_of(page: str) -> list[Block]:
         if attributes.endswith("/") and tag not in BLOCK_TAGS:
             continue
         what = kind_of(tag, attributes, bodies > 0)
-        stack.append((tag, what))
+        wrapper, lifts = None, []
+        if what == "form" or what == "named":
+            wrapper = Wrapper(what == "form", len(out), articles)
+            wrappers.append(wrapper)
+        elif what == "body":
+            strong = tag in BODY_TAGS or any(m[1].lower() == "role" for m in ATTRIBUTE.finditer(attributes))  # of roles only main is body
+            lifts = [w for w in wrappers if w.form or strong and not w.articles]
+            for w in lifts:
+                w.lifted += 1
+            articles += tag == "article" and not frames and all(w.lifted for w in wrappers)
+        stack.append((tag, what, wrapper, lifts))
         frames += what == "frame"
         bodies += what == "body"
         links += tag == "a"
         heading += tag in HEADINGS
         skipped += tag in SKIP_TAGS
     close()
+    drop(0)
+    for block, around in zip(out, inside, strict=True):
+        block.frame = block.frame or any(w.start > 0 or w.end < len(out) for w in around)
     return out
 
 

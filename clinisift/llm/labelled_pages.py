@@ -46,4 +46,13 @@ LABELLED_PAGES: tuple[str, ...] = (
     f"""<p>+{_LONG} {_MORE}</p>""",
     f"""<h1>+a letter</h1><p>+{_MORE}</p><p>+{_LONG}</p>""",
     f"""<body><p><a href=1>-home</a></p><p>+{_LONG}</p><p>+{_PART}</p><p>+{_MORE}</p></body>""",
+    # A form around the whole page, with and without an article in it.
+    f"""<body><form id="aspnetForm"><div class="menu"><a href=1>-start</a></div><article><h1>+a road through the wood</h1><p>+{_LONG}</p><p>+{_SHORT}</p><p>+{_MORE}</p></article>
+    <div class="search-box"><p>-{_PART}</p></div><div class="footer"><p>-imprint and contact of the paper</p></div></form></body>""",
+    f"""<body><form><p><a href=1>-home</a></p><p>+{_LONG}</p><p>+{_MORE} {_PART}</p><p>+{_LONG} {_MORE}</p><p><a href=2>-up</a></p></form></body>""",
+    # A layout named after its sidebar, around the article, the sidebar and comments that are articles themselves.
+    f"""<body><nav><a href=1>-home</a></nav><div class="layout has-sidebar"><article><h1>+the old mill</h1><p>+{_MORE}</p><p>+{_PART}</p><p>+{_LONG}</p></article>
+    <div class="sidebar"><p>-{_MORE}</p></div><section class="comments"><article><p>-{_LONG}</p></article><article><p>-well said</p></article></section></div></body>""",
+    f"""<body><div id="page" class="with-sidebar"><main><h1>+bread</h1><p>+{_LONG}</p><p>+{_SHORT}</p></main><div class="widget"><p>-{_PART}</p></div></div>
+    <footer><p>-{_LONG}</p></footer></body>""",
 )

@@ -226,6 +226,22 @@ def test_html(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_html_in_wrappers():
+    tree = html_text.grow(*html_text.labelled_table())
+    body = "<h1>Storm on the coast</h1>" + "".join(
+        f"<p>In part {i} the harbour master told the crews that the boats were to stay in until the wind had turned and the sea was calm.</p>" for i in "abcd")
+    want = "\n\n".join(re.findall(r">([^<]+)</", body))
+    rest = '<div class="footer"><p>all rights reserved by the owners of this site and its many writers</p></div>'
+    talk = f'<div id="comments"><article class="talk"><p>{"i saw it too and it was every bit as bad as they say " * 2}</p></article></div>'
+    for inner in (f"<article>{body}</article>", f"<main>{body}</main>", f"<main><div class='page has-comments'><article>{body}</article></div></main>"):
+        for wrap in ("<form>", '<div class="layout has-sidebar">', '<form><div class="no-sidebar">'):
+            page = f'<html><body><nav><a href="/">home</a></nav>{wrap}{inner}{rest}'
+            assert html_text.main_text(page, tree) == want, (wrap, inner)
+    assert html_text.main_text(f"<body><form><article>{body}</article>{talk}{rest}</form></body>", tree) == want
+    assert html_text.main_text(f"<body><div class='has-sidebar'>{body}</div></body>", tree) == want
+    assert html_text.main_text(f"<body><article>{body}</article><aside><article>{body}</article></aside>{talk}</body>", tree) == want
+
+
 def test_html_on_given_pages(spark):
     df = queries.table(spark, "/root/testdata/sf0.01", "pages")
     got = {r.page_id: r.text for r in html_text.extract(df).collect()}

@@ -76,6 +76,19 @@ add("nearest_neighbors", _neighbors,
       WHERE rank <= 5""")
 
 
+def _neighbors_by_id(s, d):
+    """Neighbours of every vector whose id is divisible by 100, so that the queries grow with the table."""
+    v = vecs(s, d)
+    return V.nearest_neighbors(v, v.filter(F.col("vec_id") % 100 == 0), 5)
+
+
+add("nearest_neighbors_by_id", _neighbors_by_id,
+    f"""SELECT query_id, rank, neighbor_id, similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, neighbor_id) AS rank
+      FROM (SELECT q.vec_id AS query_id, e.vec_id AS neighbor_id, {rnd(COS.format(a='q.embedding', b='e.embedding'), 6)} AS similarity
+        FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id))
+      WHERE rank <= 5""")
+
+
 def _echo(prompts):
     """Stand-in for a model: the length of the prompt."""
     return [f"answer:{len(p)}" for p in prompts]

@@ -12,6 +12,7 @@ from clinisift.operators import summary as S
 from clinisift.operators import vectors as V
 from clinisift.plans import metrics as M
 from clinisift.sources import filelog as L
+from driver_queries import ALL_QUERIES
 
 
 @pytest.fixture
@@ -86,6 +87,23 @@ def test_neighbors_in_query_chunks(spark, monkeypatch):
         assert [want[(q, r)][0] for r in (1, 2, 3, 4)] == [n for _, n in near]
 
 
+def test_registered_search_grows_with_the_table(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(V, "BLOCK", 16)
+    m = np.random.default_rng(13).normal(size=(1601, 8))
+    v = vectors(spark, m)
+    v.withColumn("label", F.col("vec_id") % 10).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {}
+    for r in ALL_QUERIES["nearest_neighbors_by_id"](spark, str(tmp_path)).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["neighbor_id"]
+    u = m.astype(np.float32).astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    assert sorted(got) == list(range(0, 1601, 100))
+    for q in got:
+        s = np.floor(u @ u[q] * 1e6 + 0.5) / 1e6
+        s[q] = -9
+        assert [got[q][k] for k in range(1, 6)] == np.lexsort((np.arange(len(s)), -s))[:5].tolist()
+
+
 def test_each_prompt_is_asked_once_and_hot_prompt_is_joined(spark, no_broadcast):
     rows = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, "same").otherwise(F.concat(F.lit("t"), F.col("id") % 50)).alias("text"))
     calls = spark.sparkContext.accumulator(0)

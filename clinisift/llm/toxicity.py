@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinisift.session import materialize
+
 from .common import tidy_batches
 from .words import row_words
 
@@ -44,18 +46,36 @@ def _present(features: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def _distinct_words(docs: DataFrame) -> DataFrame:
-    """(label, words): the distinct word hashes of each row."""
+    """(doc_id, label, words): the distinct word hashes of each row."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [np.unique(w).view(np.int64) for _, w in row_words(b.column(1), letters=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.list_(pa.int64()))], ["label", "words"])
+            words = [np.unique(w).view(np.int64) for _, w in row_words(b.column(2), letters=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(words, pa.list_(pa.int64()))], ["doc_id", "label", "words"])
+
+    return docs.mapInArrow(tidy_batches(run), f"doc_id {kind}, label int, words array<bigint>")
+
 
-    return docs.mapInArrow(tidy_batches(run), "label int, words array<bigint>")
+def _standing_out(words: DataFrame, stand_out: float) -> DataFrame:
+    """(doc_id, label, words) with those words only that may pass the test of ``fit_rows``, which decides."""
+    n = words.agg(F.count(F.when(F.col("label") > 0, 1)).alias("n1"), F.count(F.when(F.col("label") <= 0, 1)).alias("n0")).first()
+    each = words.select("doc_id", "label", F.explode("words").alias("word"))
+    in1, in0 = F.col("in1"), F.col("in0")
+    odds = F.log((in1 + 0.5) / (F.lit(n.n1) - in1 + 0.5)) - F.log((in0 + 0.5) / (F.lit(n.n0) - in0 + 0.5))
+    error = F.sqrt(1 / (in1 + 0.5) + 1 / (in0 + 0.5))
+    # Spark's logarithms may differ from numpy's in the last digit.
+    passing = (
+        each.groupBy("word").agg(F.count(F.when(F.col("label") > 0, 1)).alias("in1"), F.count(F.when(F.col("label") <= 0, 1)).alias("in0"))
+        .filter((in1 >= 3) & (odds / error >= stand_out - 1e-6) & (odds > 2 - 1e-6)).select("word"))
+    found = each.join(passing, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list("word")).alias("found"))
+    return words.select("doc_id", "label").join(found, "doc_id", "left").select(
+        "doc_id", "label", F.coalesce("found", F.array().cast("array<bigint>")).alias("words"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, grades: int = GRADES, stand_out: float = STAND_OUT) -> SeverityModel:
-    """Model fitted on at most ``sample_rows`` rows of ``labels`` (doc_id, toxic) joined to ``docs``.
+    """Model fitted on at most ``sample_rows`` rows of ``labels`` (doc_id, toxic) joined to ``docs``,
+    one for each id: of rows that share one, the smallest text. Only features reach the driver.
 
     The labels say only whether a row is toxic. Words that stand out in toxic rows are the
     features. A toxic row's grade is 1 with up to two of them, 2 with three to six, 3 (the
@@ -67,8 +87,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, grad
     chosen = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("label")).filter("doc_id IS NOT NULL AND label IS NOT NULL")
         .groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
-    table = _distinct_words(rows).toArrow()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    words = materialize(_distinct_words(rows), "labelled-words")
+    table = _standing_out(words, stand_out).toArrow().sort_by("doc_id")
     labels_ = table.column("label").to_numpy()
     lists = table.column("words").combine_chunks()
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists

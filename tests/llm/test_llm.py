@@ -278,6 +278,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert not any(r.toxic for r in toxicity.toxicity(docs, labels.limit(0)).collect())
 
 
+def test_toxicity_takes_one_row_of_an_id_and_features_only(spark, monkeypatch):
+    texts = [(i, f"plain words here w{i} " + ("vile nasty" if i % 4 == 0 else "kind mild")) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 4 == 0) for i in range(80)], "doc_id long, toxic boolean")
+    seen = []
+    plain = toxicity.fit_rows
+    monkeypatch.setattr(toxicity, "fit_rows", lambda label, row, word, *a: seen.append((len(label), len(np.unique(word)))) or plain(label, row, word, *a))
+    one, many = (
+        toxicity.fit(spark.createDataFrame(t, "doc_id long, text string"), labels) for t in (texts, texts + [texts[4]] * 300 + [(5, "z no other text")]))
+    assert seen == [(80, 2)] * 2
+    assert (one.features == many.features).all() and (one.weights == many.weights).all() and (one.thresholds == many.thresholds).all()
+
+
 def test_cumulative_link_orders_thresholds():
     rng = np.random.default_rng(0)
     n, f = 4000, 5

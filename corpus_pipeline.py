@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clinisift.llm import exact_dedup, mixing, near_dedup, queries, toxicity
-from clinisift.llm.common import without
+from clinisift.llm.common import bounded_broadcast, lower_ascii, without
 from clinisift.session import materialize, shared_dir
 
 
@@ -17,21 +18,41 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, labels)).filter("NOT toxicity.toxic").drop("toxicity")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row_key: the doc_id, or beyond 2^62 a hash of the row where the id is null or of several rows."""
+    shared = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(True).alias("shared_"))
+    rows = docs.join(bounded_broadcast(materialize(shared, "shared-ids")), "doc_id", "left")
+    own = F.lit(1 << 62).bitwiseOR(F.shiftrightunsigned(F.xxhash64(*docs.columns), 2))
+    return rows.select(*docs.columns, F.when(F.col("doc_id").isNull() | F.col("shared_").isNotNull(), own).otherwise(F.col("doc_id").cast("long")).alias("row_key"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id."""
-    gone = exact_dedup.exact_dedup(docs).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id")
-    return without(docs, materialize(gone, "copies"))
+    """Of equal texts the row with the largest doc_id.
+
+    Rows go one by one, by a hash of id and text: another text of the same id stays, and a
+    null id goes if an equal text has an id. Rows with the winning id and an equal text all
+    stay, as do those of a text that has null ids only.
+    """
+    gone = exact_dedup.exact_dedup(docs).filter("NOT kept").select(F.xxhash64("doc_id", "text_sha256").alias("row_key"))
+    rows = docs.withColumn("row_key", F.xxhash64("doc_id", F.lower(F.hex(exact_dedup.sha256(lower_ascii(F.col("text")))))))
+    return without(rows, materialize(gone, "copies"), "row_key").drop("row_key")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect the one with the smallest doc_id."""
-    gone = near_dedup.near_dedup(docs).filter("component_id <> doc_id").select("doc_id")
-    return without(docs, materialize(gone, "near-copies"))
+    """Of documents that links connect the one with the smallest doc_id.
+
+    Rows with a null id or one that several rows have are documents of their own, behind all
+    others; rows equal in all columns are one document.
+    """
+    rows = keyed(docs)
+    gone = near_dedup.near_dedup(rows, "row_key").filter("component_id <> doc_id").select(F.col("doc_id").alias("row_key"))
+    return without(rows, materialize(gone, "near-copies"), "row_key").drop("row_key")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.mixed_rows(docs, mixing.mix(docs))
+    """Documents as often as the mix takes them, each row by itself."""
+    rows = keyed(docs).withColumnsRenamed({"doc_id": "given_id", "row_key": "doc_id"})
+    return mixing.mixed_rows(rows, mixing.mix(rows)).drop("doc_id").withColumnRenamed("given_id", "doc_id").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,3 +72,24 @@ def test_nulls_empty_tables_and_more_columns(spark):
         for _, stage in corpus_pipeline.STAGES:
             now = materialize(stage(spark, now, SF), "stage")
         assert now.count() > 0 if table is docs else now.count() == 0
+
+
+def test_null_ids_and_one_id_with_two_texts(spark):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, text("a")), (2, text("a")), (None, text("a").upper()), (1, text("b")), (None, text("c")),  # copies of 2; other texts
+            (3, text("d")), (7, text("d") + " end"), (7, text("e")), (None, text("d") + " stop"), (None, text("f")), (8, text("g"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], kind)
+    once = corpus_pipeline.drop_copies(spark, docs, SF)
+    assert collections.Counter((r.doc_id, r.text) for r in once.collect()) == collections.Counter(rows[1:2] + rows[3:])
+    near = materialize(corpus_pipeline.drop_near_copies(spark, once, SF), "stage")
+    left = [r for r in rows[1:2] + rows[3:] if not r[1].endswith(("end", "stop"))]
+    assert collections.Counter((r.doc_id, r.text) for r in near.collect()) == collections.Counter(left) and near.columns == docs.columns
+    # Every text by itself: null ids are taken as often as rows with an id of their own would be.
+    keys = {(r.doc_id, r.text): r.row_key for r in corpus_pipeline.keyed(near).collect()}
+    assert len(set(keys.values())) == len(left) and keys[(3, text("d"))] == 3
+    named = spark.createDataFrame([(k, t, "en", "s", 1) for (_, t), k in keys.items()], kind)
+    times = {r.doc_id: r.copies for r in mixing.mix(named).collect() if r.copies}
+    assert collections.Counter(keys[(r.doc_id, r.text)] for r in corpus_pipeline.mix_sources(spark, near, SF).collect()) == times

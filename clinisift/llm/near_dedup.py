@@ -171,6 +171,11 @@ def _may(na, pa_, nb, pb):
         & ((100 + PERCENT) * F.least(na - pa_, nb - pb) >= PERCENT * (na + nb)))
 
 
+def inside(groups: DataFrame) -> DataFrame:
+    """Groups of several members that may be linked with each other: they can share all but the ``alone`` ones."""
+    return groups.filter("members > 1").filter(_may("n", "alone", "n", "alone"))
+
+
 def links(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes, links): the classes of equal sets (da, db, n, rep, copies), and links (a, b) between
     representatives that connect all that the join connects.
@@ -209,7 +214,7 @@ def links(found: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.count_distinct("lab").alias("labels")).filter("labels > 1").select(
             "token", F.col("p.gid").alias("a"), F.col("p.n").alias("na"), F.col("p.pos").alias("pa"))
         stars = labelled.join(pivot, "token").filter(_may("na", "pa", "n", "pos")).select("a", F.col("gid").alias("g")).distinct()
-        inner = groups.filter("members > 1").select(F.col("gid").alias("a"), F.col("gid").alias("g"))
+        inner = inside(groups).select(F.col("gid").alias("a"), F.col("gid").alias("g"))
         pairs = stars.unionByName(inner).distinct().join(member.withColumnRenamed("gid", "g"), "g").select("a", F.col("rep").alias("b")).filter("a <> b")
         hit = materialize(verified(pairs, sets), "near-stars")
         edges = hit if edges is None else edges.unionByName(hit)
@@ -232,7 +237,7 @@ def links(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     meet = one.join(two, "token").filter(room).select("token", "lab_a", "lab_b")
     side_a, side_b = (labelled.select("token", F.col("lab").alias(f"lab_{x}"), F.col("gid").alias(f"g{x}"), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}")) for x in "ab")
     cross = meet.join(side_a, ["token", "lab_a"]).join(side_b, ["token", "lab_b"]).filter(_may("na", "pa", "nb", "pb")).select("ga", "gb").distinct()
-    inner = groups.filter("members > 1").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
+    inner = inside(groups).select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
     ma, mb = (label.select(F.col("gid").alias(f"g{x}"), F.col("rep").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
     pairs = cross.unionByName(inner).join(ma, "ga").join(mb, "gb").filter("la <> lb AND a <> b AND (ga <> gb OR a < b)").select("a", "b")
     return classes, materialize(edges.unionByName(verified(pairs, sets)), "near-links")

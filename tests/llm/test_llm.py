@@ -450,6 +450,11 @@ def test_near_dedup_of_a_large_group(spark):
     assert {tuple(r) for r in near_dedup.near_dedup(df).collect()} == brute_near(rows)
 
 
+def test_near_dedup_pairs_no_group_that_cannot_link(spark):
+    groups = spark.createDataFrame([(1, 100, 11, 5), (2, 100, 12, 5), (3, 100, 11, 1)], "gid long, n long, alone int, members long")
+    assert [r.gid for r in near_dedup.inside(groups).collect()] == [1]
+
+
 def test_components_of_a_path(spark):
     rng = np.random.default_rng(6)
     name = rng.permutation(200)

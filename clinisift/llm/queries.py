@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clinisift.session import fresh_path
 
-from . import bpe, exact_dedup, html_text, mixing, near_dedup, repeats, revisits, token_files, topk, toxicity
+from . import bpe, exact_dedup, html_text, minhash, mixing, near_dedup, repeats, revisits, token_files, topk, toxicity
 
 #: Where the public tokenizer files lie; a parameter of the operators.
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
@@ -75,6 +75,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -86,9 +90,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_topk": op9_topk,
     "op10_mixing": op10_mixing,
+    "op12_minhash": op12_minhash,
 }
 SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op6_revisits": revisits.SQL,
     "op9_topk": topk.SQL,
+    "op12_minhash": minhash.SQL,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clinisift.session import fresh_path
 
-from . import bpe, exact_dedup, html_text, minhash, mixing, near_dedup, repeats, revisits, token_files, topk, toxicity
+from . import alignment, bpe, exact_dedup, html_text, minhash, mixing, near_dedup, repeats, revisits, token_files, topk, toxicity
 
 #: Where the public tokenizer files lie; a parameter of the operators.
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
@@ -75,6 +76,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    found = alignment.alignment(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"), sha256)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def sha256(text: bytes) -> str:
+    return hashlib.sha256(text).hexdigest()
+
+
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.minhash(table(spark, sf_dir, "documents"))
 
@@ -90,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_topk": op9_topk,
     "op10_mixing": op10_mixing,
+    "op11_alignment": op11_alignment,
     "op12_minhash": op12_minhash,
 }
 SQL: dict[str, str] = {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clinisift.session import fresh_path
 
-from . import alignment, bpe, exact_dedup, html_text, minhash, mixing, near_dedup, repeats, revisits, token_files, topk, toxicity
+from . import alignment, bpe, exact_dedup, html_text, minhash, mixing, near_dedup, phrases, repeats, revisits, token_files, topk, toxicity
 
 #: Where the public tokenizer files lie; a parameter of the operators.
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
@@ -91,6 +91,10 @@ def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.minhash(table(spark, sf_dir, "documents"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -104,10 +108,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_alignment": op11_alignment,
     "op12_minhash": op12_minhash,
+    "op13_phrases": op13_phrases,
 }
 SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op6_revisits": revisits.SQL,
     "op9_topk": topk.SQL,
     "op12_minhash": minhash.SQL,
+    "op13_phrases": phrases.SQL,
 }

@@ -45,16 +45,31 @@ def _present(features: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.unique(at[features[at] == words])
 
 
-def _distinct_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, label, words): the distinct word hashes of each row."""
+def _distinct_words(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, label, words): the distinct word hashes of one row for each id of the small table
+    ``chosen`` (doc_id, label), written once.
+
+    No text is shuffled: first the hash of the row that stands for an id is found (of several
+    texts the one with the smallest hash), then the tasks that hold that row count its words.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    picked = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("mark").alias("mark"))
+    rows = texts.join(F.broadcast(materialize(picked, "labelled-rows")), ["doc_id", "mark"]).select("doc_id", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # repeated rows of an id: one from each task is enough
         for b in batches:
+            new = np.zeros(b.num_rows, bool)
+            for k, i in enumerate(b.column(0).to_pylist()):
+                new[k] = i not in seen
+                seen.add(i)
+            b = b.filter(pa.array(new))
             words = [np.unique(w).view(np.int64) for _, w in row_words(b.column(2), letters=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(words, pa.list_(pa.int64()))], ["doc_id", "label", "words"])
 
-    return docs.mapInArrow(tidy_batches(run), f"doc_id {kind}, label int, words array<bigint>")
+    words = rows.mapInArrow(tidy_batches(run), f"doc_id {kind}, label int, words array<bigint>")
+    return materialize(words.dropDuplicates(["doc_id"]), "labelled-words")
 
 
 def _standing_out(words: DataFrame, stand_out: float) -> DataFrame:
@@ -75,7 +90,7 @@ def _standing_out(words: DataFrame, stand_out: float) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, grades: int = GRADES, stand_out: float = STAND_OUT) -> SeverityModel:
     """Model fitted on at most ``sample_rows`` rows of ``labels`` (doc_id, toxic) joined to ``docs``,
-    one for each id: of rows that share one, the smallest text. Only features reach the driver.
+    one for each id: of rows that share one, the text with the smallest hash. Only features reach the driver.
 
     The labels say only whether a row is toxic. Words that stand out in toxic rows are the
     features. A toxic row's grade is 1 with up to two of them, 2 with three to six, 3 (the
@@ -87,9 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, grad
     chosen = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("label")).filter("doc_id IS NOT NULL AND label IS NOT NULL")
         .groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    words = materialize(_distinct_words(rows), "labelled-words")
-    table = _standing_out(words, stand_out).toArrow().sort_by("doc_id")
+    table = _standing_out(_distinct_words(docs, materialize(chosen, "labelled-ids")), stand_out).toArrow().sort_by("doc_id")
     labels_ = table.column("label").to_numpy()
     lists = table.column("words").combine_chunks()
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists

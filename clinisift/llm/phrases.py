@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from clinisift.session import broadcast_if_small, join_hot_split, materialize
 
 from .common import give_back, partitions, tidy_batches
-from .words import word_hashes
+from .words import CHUNK_BYTES, word_hashes
 
 #: Words in a phrase, at most; occurrences it needs; phrases reported for each language.
 DEPTH, LEAST, TOP = 5, 100, 2000
@@ -61,13 +61,27 @@ def cut_text(text: bytes, size: int = BLOCK_BYTES) -> Iterator[bytes]:
     yield text[at:]
 
 
+def hashed_words(spaced: np.ndarray, size: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of each word between blanks, ``size`` bytes at a time."""
+    at, found = 0, [(np.empty(0, np.uint64), np.empty(0, np.int64))]
+    while at < len(spaced):
+        end = min(len(spaced), at + size)
+        while end < len(spaced) and spaced[end - 1] != 0x20:
+            blanks = np.flatnonzero(spaced[at:end] == 0x20)
+            end = at + int(blanks[-1]) + 1 if len(blanks) else min(len(spaced), end + size)
+        hashes, starts = word_hashes(spaced[at:end], np.empty(0, np.int64))
+        found.append((hashes, starts + at))
+        at = end
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def block_of(number: int, lang: str, texts: list[bytes]) -> pa.RecordBatch:
     """One block: its distinct words (hash, spelling, occurrences) and the sequence of its words, each as
     its number among them, the first of a piece with bit 32 set."""
     data = np.frombuffer(b"\n".join(texts), np.uint8)
     kind = _KIND[data]
     spaced = _SPACED[data]
-    hashes, starts = word_hashes(spaced, np.empty(0, np.int64))
+    hashes, starts = hashed_words(spaced)
     piece = np.cumsum(kind == _PIECE)[starts] if len(starts) else starts
     names, first, local, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
     outside = np.r_[np.flatnonzero(kind), len(data)]
@@ -138,7 +152,7 @@ def suffixes_of(sequence: np.ndarray, ids: np.ndarray, depth: int = DEPTH) -> np
         mark = (mark ^ columns[d].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         mark ^= mark >> np.uint64(29)
     _, first, same, times = np.unique(mark, return_index=True, return_inverse=True, return_counts=True)
-    if not (columns[:depth] == columns[:depth, first[same]]).all():  # two suffixes have one hash
+    if not all((columns[d] == columns[d, first[same]]).all() for d in range(depth)):  # two suffixes have one hash
         _, first, times = np.unique(columns[:depth], axis=1, return_index=True, return_counts=True)
     columns = columns[:, first]
     columns[depth] = times
@@ -205,7 +219,8 @@ def phrase_counts(blocks: DataFrame, words: DataFrame, least: int = LEAST, depth
     # A word that alone would fill a bucket does not decide by itself where its suffixes go.
     hot = words.filter(F.col("f") > max(least, total // buckets)).agg(F.max("id")).first()[0] or 0
     asked = blocks.select(F.col("block").alias("of"), "lang", F.explode("words.word").alias("word"))
-    answers = asked.join(broadcast_if_small(words.select("lang", "word", "id")), ["lang", "word"]).select("of", "word", "id")
+    # Every word gets an answer, a rare one 0, so that what travels grows with the blocks alone.
+    answers = asked.join(broadcast_if_small(words.select("lang", "word", "id")), ["lang", "word"], "left").select("of", "word", F.coalesce("id", F.lit(0)).alias("id"))
 
     def route(block: pa.Table, found: pa.Table) -> pa.Table:
         names = block.column("names").combine_chunks().flatten().to_numpy()

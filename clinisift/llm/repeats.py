@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinisift.session import materialize
+from clinisift.session import join_hot_split, materialize
 
 from .common import partitions, tidy_batches, tidy_group
 from .words import CHUNK_BYTES, chunks, mixed, powers, texts_of
@@ -316,7 +316,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = classes.join(around, "anchor", "left").filter("times > 1 OR kinds > 1")
     shared = materialize(shared.select("anchor", "around", "times", "one", (F.coalesce("kinds", F.lit(0)) > 1).alias("compare"),
                                        (F.coalesce("kinds", F.lit(0)) > CROWD).alias("crowd")), "repeat-shared")
-    whole = found.join(shared.filter("times > 1").select("anchor", "around"), ["anchor", "around"]).select(
+    # ``times`` counts the rows of a class, so the classes of a passage that many texts hold do not move.
+    rows = found.select("key", "start", "stop", "anchor", "around")
+    whole = join_hot_split(rows, shared.filter("times > 1").select("anchor", "around", "times"), ["anchor", "around"], "times").select(
         "key", F.col("start").cast("long").alias("from"), (F.col("stop") + length).cast("long").alias("upto"))
     wanted = materialize(shared.filter("compare").select("one.*", "anchor", "crowd"), "repeat-wanted")
     parts = max(partitions(spark), math.ceil(wanted.count() * (length * 3 // 2) / PART_BYTES))

@@ -116,6 +116,9 @@ def score_pairs(pairs: DataFrame, vectors: DataFrame, id_col: str = "vec_id", co
 
 BLOCK = 1024
 SLACK = 1e-6
+# Centres that vectors are grouped around, at most, ranges of angles around each, and queries that
+# meet a block together.
+CENTRES, SHELLS, QUERIES = 1024, 16, 4096
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -213,20 +216,63 @@ def similarity_pairs(df: DataFrame, k: int = 20, id_col: str = "vec_id", col: st
     return spread.unionByName(same).orderBy(*order).limit(k)
 
 
+def shells(vectors: DataFrame, id_col: str = "vec_id", col: str = "embedding") -> tuple[DataFrame, np.ndarray, pd.DataFrame]:
+    """(rows, centres, table): vectors grouped around centres, and what bounds their groups.
+
+    Centres are at most CENTRES vectors, those with the smallest hashes of their ids. A shell holds
+    the vectors that are nearest to one centre and lie within one of SHELLS ranges of angles
+    from it; ``table`` has its smallest and largest angle, size and number of blocks, so that
+    it has CENTRES * SHELLS rows at most. ``rows`` (id, vec, shell, block) is written once.
+    """
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(col).alias("vec"))
+    n = rows.count()
+    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(min(CENTRES, max(1, -(-n // BLOCK)))).toPandas()
+    if not len(chosen):
+        return rows.withColumns({"shell": F.lit(0), "block": F.lit(0)}), np.zeros((0, 0)), pd.DataFrame({"shell": [], "low": [], "high": [], "n": [], "blocks": []})
+    centres = _unit(np.array(chosen["vec"].tolist(), dtype=np.float64))
+    kind = rows.schema["vec"].dataType.simpleString()
+
+    def place(parts):
+        for p in parts:
+            if len(p):
+                s = _unit(np.array(p["vec"].tolist(), dtype=np.float64)) @ centres.T
+                near = s.argmax(axis=1)
+                angle = np.arccos(np.clip(s[np.arange(len(s)), near], -1, 1))
+                yield p.assign(angle=angle, shell=near * SHELLS + np.minimum((angle / np.pi * SHELLS).astype(int), SHELLS - 1))
+
+    placed = materialize(rows.mapInPandas(place, f"id {rows.schema['id'].dataType.simpleString()}, vec {kind}, angle double, shell int"), "shells")
+    table = placed.groupBy("shell").agg(
+        F.min("angle").alias("low"), F.max("angle").alias("high"), F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    table = materialize(table, "shell-bounds")
+    dealt = placed.join(F.broadcast(table.select("shell", "blocks")), "shell")
+    return dealt.select("id", "vec", "shell", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")), centres, table.orderBy("shell").toPandas()
+
+
+def upper_bounds(s: np.ndarray, table: pd.DataFrame) -> np.ndarray:
+    """Highest cosine that each query can have with any vector of each shell, from its cosines ``s`` with the
+    centres: angles obey the triangle inequality."""
+    angle = np.arccos(np.clip(s[:, table["shell"].to_numpy() // SHELLS], -1, 1))
+    apart = np.maximum(0, np.maximum(angle - table["high"].to_numpy(), table["low"].to_numpy() - angle))
+    return np.cos(apart)
+
+
 def nearest_neighbors(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", col: str = "embedding") -> DataFrame:
-    """The k nearest other vectors of every query vector.
+    """The k nearest other vectors of every query vector, exactly.
 
-    Blocks of queries meet blocks of vectors, each pair of blocks in one task; a task passes
-    on its k best per query and the final ranking sees those only.
+    Vectors lie in shells around centres. A query first meets the shells that may hold its nearest
+    vectors; their k-th score then rules out every shell whose bound is below it, before
+    anything is shuffled. Vectors stay in their blocks: a block is sent once for each slice of
+    QUERIES queries that ask it, never once for each other block. Without structure in the
+    vectors no shell is ruled out and the answer takes all products.
     """
-    nv, nq = (max(1, -(-df.count() // BLOCK)) for df in (vectors, queries))
-    dealt = F.pmod(F.xxhash64(id_col), F.lit(nv)).cast("int")
-    v = vectors.select(dealt.alias("i"), F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("j"), F.col(id_col).alias("id"), F.col(col).alias("vec"), F.lit(False).alias("asks"))
-    asked = F.pmod(F.xxhash64(id_col), F.lit(nq)).cast("int")
-    q = queries.select(F.explode(F.sequence(F.lit(0), F.lit(nv - 1))).alias("i"), asked.alias("j"), F.col(id_col).alias("id"), F.col(col).alias("vec"), F.lit(True).alias("asks"))
-
-    def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+    rows, centres, table = shells(vectors, id_col, col)
+    rows = materialize(rows, "shell-rows")
+    asking = queries.select(F.col(id_col).alias("id"), F.col(col).alias("vec"))
+    slices = max(1, -(-asking.count() // QUERIES))
+    asking = asking.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
+    kind = ", ".join(f"{c} {asking.schema[c].dataType.simpleString()}" for c in ("id", "vec", "slice"))
+
+    def best(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         found = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         if len(x) and len(y):
             ids, asks = y["id"].to_numpy(), x["id"].to_numpy()
@@ -241,7 +287,34 @@ def nearest_neighbors(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col
             found = [asks[i], ids[j], s[i, j]]
         return pd.DataFrame(dict(zip(("query_id", "neighbor_id", "similarity"), found, strict=True)))
 
-    out = v.unionByName(q).groupBy("i", "j").applyInPandas(best, "query_id long, neighbor_id long, similarity double")
+    def ask(requests: DataFrame) -> DataFrame:
+        """Best of the blocks of the shells that (id, vec, slice, shell) ask."""
+        of = F.broadcast(blocks)
+        asked = requests.join(of, "shell").select("id", "vec", "slice", "shell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        wanted = asked.select(F.col("shell").alias("to_shell"), F.col("block").alias("to_block"), F.col("slice").alias("to_slice")).distinct()
+        sent = rows.join(wanted, (F.col("shell") == F.col("to_shell")) & (F.col("block") == F.col("to_block"))).drop("shell", "block")
+        return asked.groupBy("shell", "block", "slice").cogroup(sent.groupBy("to_shell", "to_block", "to_slice")).applyInPandas(
+            best, "query_id long, neighbor_id long, similarity double")
+
+    blocks = rows.sparkSession.createDataFrame(table[["shell", "blocks"]].astype("int32") if len(table) else pd.DataFrame({"shell": [0], "blocks": [1]}), "shell int, blocks int")
+
+    def plan(parts, later: bool):
+        for p in parts:
+            if not len(p) or not len(table):
+                continue
+            bound = upper_bounds(_unit(np.array(p["vec"].tolist(), dtype=np.float64)) @ centres.T, table)
+            order = np.argsort(-bound, axis=1, kind="stable")
+            before = np.cumsum(table["n"].to_numpy()[order], axis=1) - table["n"].to_numpy()[order]
+            first = np.zeros(bound.shape, bool)
+            np.put_along_axis(first, order, before < k + 1, axis=1)  # the query itself may be among them
+            use = ~first & (bound >= p["kth"].to_numpy()[:, None] - SLACK) if later else first
+            i, j = np.nonzero(use)
+            yield p.iloc[i].drop(columns=["kth"] if later else []).assign(shell=table["shell"].to_numpy()[j].astype("int32"))
+
+    one = materialize(ask(asking.mapInPandas(lambda parts: plan(parts, False), f"{kind}, shell int")), "neighbors-first")
     w = W.partitionBy("query_id").orderBy(F.desc("similarity"), "neighbor_id")
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
+    kth = one.withColumn("place", F.row_number().over(w)).filter(F.col("place") == k).select(F.col("query_id").alias("id"), F.col("similarity").alias("kth"))
+    known = asking.join(kth, "id", "left").fillna({"kth": -2.0}).select("id", "vec", "slice", "kth")
+    two = ask(known.mapInPandas(lambda parts: plan(parts, True), f"{kind}, shell int"))
+    return one.unionByName(two).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("long").alias("rank"), "neighbor_id", "similarity")

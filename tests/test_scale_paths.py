@@ -277,3 +277,42 @@ def test_resolution_finds_near_names_of_any_length(spark):
         near = [(lev(n, m), k) for k, m in enumerate(names) if abs(len(m) - len(n)) <= 2]
         d, k = min(near, default=(9, None))
         assert got[i] == ((k, d) if d <= 2 else (None, None)), (i, n)
+
+
+@pytest.mark.parametrize("copies", [0, 200])
+def test_neighbors_leave_out_shells_by_their_bounds(spark, monkeypatch, copies):
+    """Vectors around a few directions: exact results, and a query meets a small part of the blocks."""
+    monkeypatch.setattr(V, "BLOCK", 16)
+    monkeypatch.setattr(V, "QUERIES", 30)
+    rng = np.random.default_rng(21)
+    m = rng.normal(size=(12, 8))[rng.integers(0, 12, 600)] + rng.normal(size=(600, 8)) * 0.05
+    m[:copies] = m[0]
+    m[599] = 0
+    v = vectors(spark, m)
+    met = []
+    got = {(r["query_id"], r["rank"]): (r["neighbor_id"], r["similarity"]) for r in V.nearest_neighbors(v, v.filter("vec_id % 10 = 0"), 5).collect()}
+    u = m.astype(np.float32).astype(np.float64)
+    n = np.linalg.norm(u, axis=1, keepdims=True)
+    u = u / np.where(n == 0, 1, n)
+    for q in range(0, 600, 10):
+        s = np.floor(u @ u[q] * 1e6 + 0.5) / 1e6
+        s[q] = -9
+        best = np.lexsort((np.arange(len(s)), -s))[:5]
+        assert [got[q, k] for k in range(1, 6)] == [(int(b), s[b]) for b in best]
+        met.append(np.partition(s, -5)[-5])
+    _, centres, table = V.shells(v)
+    asked = u[::10]
+    bound = V.upper_bounds(asked @ centres.T, table)
+    held = [[r["id"] for r in rows] for rows in members(v)]
+    real = np.array([[(u[ids] @ q).max() for ids in held] for q in asked])
+    assert (bound >= real - 1e-9).all()
+    share = (bound >= np.array(met)[:, None] - V.SLACK) @ table["n"].to_numpy() / 600
+    assert np.median(share) < 0.5
+
+
+def members(v):
+    """The vectors of each shell, in the order of the table."""
+    groups = {}
+    for r in V.shells(v)[0].collect():
+        groups.setdefault(r["shell"], []).append(r)
+    return [groups[k] for k in sorted(groups)]

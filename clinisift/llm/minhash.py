@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,66 +19,69 @@ from .words import mixed, row_words
 #: Words in a shingle; shingles two documents must share, in hundredths of their union.
 WORDS, PERCENT = 4, 80
 #: Bands of a signature and components in each. Two documents that share 80 % of their union miss
-#: each other in every band with probability (1 - 0.8^4)^32 = 5e-8, more similar ones less often.
-BANDS, ROWS = 32, 4
-SIZE = BANDS * ROWS
-#: Of the 128 components, compared by two bits each, a pair at 80 % agrees in 109 on average and in
-#: fewer than 80 with probability 1e-10: such pairs are not compared by their sets.
-AGREE = 80
-#: Elements whose permutations are drawn together.
+#: each other in every band with probability (1 - 0.8^7)^72 = 4e-8, more similar ones less often;
+#: documents that share 30 %, such as those with one long passage in common, meet in 2 of 100 cases.
+BANDS, ROWS = 72, 7
+#: Components of a signature: the first prime that has room for all bands.
+SIZE = 509
+#: Components are compared by two bits each before sets are. Pairs that agree in less than what a pair at
+#: 80 % has on average minus so many standard deviations (a probability of 1e-10) are left out.
+DEVIATIONS = 6.4
+_WORDS = -(-SIZE // 32)
+#: Elements that take their steps together.
 CHUNK_ITEMS = 1 << 17
 #: Pairs that one copy of a set is compared in; sets of hubs with more of them are copied per slice.
 SLICE = 512
-#: Star rounds go on while more than so many pairs per posting are left to test.
-PAIRS_PER_POSTING, STAR_ROUNDS = 4, 4
+#: Star rounds, each over one of the parts of the bands, go on while more than so many pairs per posting are
+#: left to test; in a round a document is tested against the centres of its so many largest buckets.
+PAIRS_PER_POSTING, STAR_ROUNDS, PARTS, CENTRES = 4, 5, 4, 3
 #: Edges that one local union-find holds.
 FOREST_EDGES = 1 << 19
 _NONE = np.iinfo(np.uint64).max
-_RANK = np.uint64(44)
-_DRAW = (np.uint64(1) << _RANK) - np.uint64(1)
+_RANK = np.uint64(48)
 
 
 def super_minhash(items: np.ndarray, owner: np.ndarray, sets: int, size: int = SIZE) -> np.ndarray:
     """Signatures (sets x size) of the sets whose element hashes are ``items``, ``owner`` naming the set of each.
 
-    Every element draws a random permutation of the components step by step and, with step j,
-    offers the component it reaches the value j + r (r uniform in [0, 1), kept as an integer).
-    A component takes the least value offered. The ranks of one element differ in all
-    components, which lowers the variance below that of independent hashes. All elements take
-    step j together, so a component that has a value after it is final, and a set whose
-    components all have one stops: large sets after a step or two.
+    Every element ranks all components by a random permutation and, with step j, offers the
+    component of rank j the value j + r (r uniform in [0, 1), kept as an integer). A component
+    takes the least value offered. The ranks of one element differ in all components, which
+    lowers the variance below that of independent hashes. All elements take step j together,
+    so a component that has a value after it is final, and a set whose components all have
+    one stops.
+
+    The permutation of an element is j -> (first + j * pace) mod ``size`` (a prime), first and
+    pace drawn from its hash: of these, two components have any two ranks equally often, and
+    the variance of the estimate depends on pairs of components only.
     """
-    out = np.full(sets * size, _NONE, np.uint64)
+    out = np.full((sets, size), _NONE, np.uint64)
     owner = owner.astype(np.int64)
-    perms = None
+    draw = mixed(items + np.uint64(0x2545F4914F6CDD1D))
+    low = draw & np.uint64(0xFFFFFFFF)
+    at = (low * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+    pace = 1 + ((draw >> np.uint64(32)) * np.uint64(size - 1) >> np.uint64(32)).astype(np.int64)
+    flat = out.ravel()
     for j in range(size):
         if not len(items):
             break
-        h = mixed(items + np.uint64((0x9E3779B97F4A7C15 * (j + 1)) % 2**64))
-        at = j + ((h >> _RANK) * np.uint64(size - j) >> np.uint64(64 - 44)).astype(np.int64)
-        if perms is None:
-            reached = at
-        else:
-            each = np.arange(len(items))
-            reached = perms[each, at].astype(np.int64)
-            perms[each, at] = perms[:, j]
-        cell = owner * size + reached
-        new = out[cell] == _NONE
-        np.minimum.at(out, cell[new], np.uint64(j) << _RANK | (h[new] & _DRAW))
-        going = (out.reshape(sets, size) == _NONE).any(axis=1)[owner]
-        if perms is None:
-            first = at[going]
-            perms = np.tile(np.arange(size, dtype=np.min_scalar_type(size)), (len(first), 1))
-            perms[np.arange(len(first)), first] = 0
-            items, owner = items[going], owner[going]
-        elif not going.all():
-            items, owner, perms = items[going], owner[going], perms[going]
-    return out.reshape(sets, size)
-
-
-def bands_of(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
+        cell = owner * size + at
+        new = np.flatnonzero(flat[cell] == _NONE)
+        r = mixed(items[new] + np.uint64((0x9E3779B97F4A7C15 * (j + 1)) % 2**64)) >> (np.uint64(64) - _RANK)
+        np.minimum.at(flat, cell[new], np.uint64(j) << _RANK | r)
+        heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        going = (out[owner[heads]] == _NONE).any(axis=1)
+        if not going.all():
+            keep = np.repeat(going, np.diff(np.r_[heads, len(owner)]))
+            items, owner, at, pace = items[keep], owner[keep], at[keep], pace[keep]
+        at = at + pace
+        at -= size * (at >= size)
+    return out
+
+
+def bands_of(signatures: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key for each band of each signature; the band's number is part of it."""
-    parts = signatures.reshape(len(signatures), -1, rows)
+    parts = signatures[:, :bands * rows].reshape(len(signatures), bands, rows)
     key = np.broadcast_to(np.arange(1, parts.shape[1] + 1, dtype=np.uint64), parts.shape[:2])
     for k in range(rows):
         key = mixed(key * np.uint64(0x100000001B3) + mixed(parts[:, :, k]))
@@ -86,7 +90,9 @@ def bands_of(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def bits_of(signatures: np.ndarray) -> np.ndarray:
     """Two bits of each component, 32 components in a 64-bit number."""
-    two = (mixed(signatures) & np.uint64(3)).reshape(len(signatures), -1, 32)
+    two = np.zeros((len(signatures), _WORDS * 32), np.uint64)
+    two[:, :SIZE] = mixed(signatures) & np.uint64(3)
+    two = two.reshape(len(signatures), _WORDS, 32)
     return np.bitwise_or.reduce(two << (np.arange(32, dtype=np.uint64) * np.uint64(2)), axis=2)
 
 
@@ -94,7 +100,7 @@ def sketch_table(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
     """doc_id, n, digests of the set, band keys and bits of some documents."""
     n = np.array([len(s) for s in sets], np.int64)
     full = np.flatnonzero(n)
-    bands, bits = np.zeros((len(sets), BANDS), np.uint64), np.zeros((len(sets), SIZE // 32), np.uint64)
+    bands, bits = np.zeros((len(sets), BANDS), np.uint64), np.zeros((len(sets), _WORDS), np.uint64)
     da, db = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
     if len(full):
         items = np.concatenate([sets[k] for k in full])
@@ -106,7 +112,7 @@ def sketch_table(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         pa.array(ids, pa.int64()), pa.array(n), pa.array(da.view(np.int64)), pa.array(db.view(np.int64)),
         pa.FixedSizeListArray.from_arrays(pa.array(bands.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64())),
-        pa.FixedSizeListArray.from_arrays(pa.array(bits.view(np.int64).ravel()), SIZE // 32).cast(pa.list_(pa.int64()))],
+        pa.FixedSizeListArray.from_arrays(pa.array(bits.view(np.int64).ravel()), _WORDS).cast(pa.list_(pa.int64()))],
         ["doc_id", "n", "da", "db", "bands", "bits"])
 
 
@@ -157,11 +163,33 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(tidy_batches(run), "rep bigint, da bigint, n bigint, tokens array<bigint>")
 
 
+def variance_factor(union: int, size: int = SIZE) -> float:
+    """Variance of the estimate, in units of independent hashes, for two sets with ``union`` elements together."""
+    step = np.arange(1, size, dtype=np.float64)
+    rising = ((step + 1) / size) ** union + ((step - 1) / size) ** union - 2 * (step / size) ** union
+    return 1 - float(((step / (size - 1)) ** union * rising).sum()) * (size - 1) / (union - 1) if union > 1 else 1.0
+
+
+def least_agreement(n: int) -> int:
+    """Components that a pair at 80 % agrees in, at least, if its larger set has ``n`` shingles or fewer."""
+    j = PERCENT / 100
+    spread = SIZE * (0.75**2 * j * (1 - j) * max(variance_factor(u) for u in (max(2, n), 5 * n // 4 + 2)) + (1 - j) * 0.25 * 0.75)
+    return math.floor(SIZE * (j + (1 - j) / 4) - DEVIATIONS * math.sqrt(spread))
+
+
+def _agree(na: Column, nb: Column, bits_a: Column, bits_b: Column) -> Column:
+    """Whether two signatures agree in enough components for sets of these sizes."""
+    most, least = F.greatest(na, nb), F.lit(least_agreement(1 << 30))
+    for bits in range(12, 5, -1):
+        least = F.when(most <= 1 << bits, least_agreement(1 << bits)).otherwise(least)
+    return _alike(bits_a, bits_b) >= least
+
+
 def _alike(bits_a: Column, bits_b: Column) -> Column:
     """Components of two signatures that agree in their two bits."""
     pairs = F.lit(0x5555555555555555)
     same = None
-    for k in range(SIZE // 32):
+    for k in range(_WORDS):
         x = bits_a[k].bitwiseXOR(bits_b[k])
         unlike = F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(pairs))
         same = unlike if same is None else same + unlike
@@ -171,13 +199,15 @@ def _alike(bits_a: Column, bits_b: Column) -> Column:
 def _may() -> Column:
     """Sizes close enough for a link, and signatures not too different."""
     na, nb = F.col("na"), F.col("nb")
-    return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (_alike(F.col("bits_a"), F.col("bits_b")) >= AGREE)
+    return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & _agree(na, nb, F.col("bits_a"), F.col("bits_b"))
 
 
 def _with_set(pairs: DataFrame, sets: DataFrame, x: str, other: str) -> DataFrame:
     """``pairs`` with the set of ``x``: those of a hub are dealt out by the other side, to copies of its set."""
     hot = pairs.groupBy(x).agg(F.count(F.lit(1)).alias("uses")).filter(F.col("uses") > SLICE)
     hot = broadcast_if_small(materialize(hot.select(x, (1 + F.col("uses") / SLICE).cast("int").alias("slices")), "minhash-hubs"))
+    used = bounded_broadcast(pairs.select(F.col(x).alias("rep")).distinct())
+    sets = sets.join(used, "rep", "left_semi")
     dealt = pairs.join(hot, x, "left").withColumn("slice", F.pmod(F.xxhash64(other), F.coalesce("slices", F.lit(1))).cast("int")).drop("slices")
     copies = sets.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}")).join(hot, x, "left").withColumn(
         "slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1))).drop("slices")
@@ -230,63 +260,79 @@ def forest(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, "a bigint, b bigint")
 
 
+def grouped(edges: DataFrame) -> DataFrame:
+    """(node, component) of the nodes of the written ``edges`` (a, b); nodes that are their own component may
+    be missing. Few edges are joined by one union-find, more by rounds over all tasks."""
+    if edges.limit(FOREST_EDGES).count() < FOREST_EDGES:
+        return forest(edges.coalesce(1)).select(F.col("b").alias("node"), F.col("a").alias("component"))
+    return components(edges)
+
+
 def links(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(classes, links): the classes of equal sets (da, db, n, rep, copies), and verified links (a, b) between
     representatives that connect all that the candidate pairs connect.
 
-    Representatives that share a band are candidates. In a star round the members of each bucket
-    are tested against one of them, the same for as many buckets as possible, and linked ones
-    take a common label. Then members of a bucket meet wherever their labels differ, so that a
-    large group of near copies is never paired with itself.
+    Representatives that share a band are candidates. In a star round each bucket has a centre,
+    the same for as many buckets as possible; documents are tested against the centres of their
+    largest buckets, and all that links connect take one label (union-find). Then all members of a bucket meet
+    wherever their labels still differ: no candidate pair is left untested, and a large group
+    of near copies is never paired with itself.
     """
     key = ["da", "db", "n"]
     near = found.filter("n > 0 AND doc_id IS NOT NULL")
     classes = materialize(near.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "minhash-classes")
     firsts = near.withColumn("rep", F.col("doc_id")).join(classes.drop("copies"), [*key, "rep"], "left_semi").dropDuplicates(["rep", *key])
     firsts = materialize(firsts.select("rep", "n", "bands", "bits"), "minhash-firsts")
-    each = firsts.select("rep", "n", "bits", F.explode("bands").alias("token"))
+    each = firsts.select("rep", "n", "bits", F.posexplode("bands").alias("band", "token"))
     shared = each.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    postings = materialize(join_hot_split(each, materialize(shared, "minhash-buckets"), ["token"], "members").drop("members"), "minhash-postings")
-    ids = materialize(postings.select("rep").distinct(), "minhash-candidates")
-    sets = full_sets(docs, ids, id_col, text_col).dropDuplicates(["rep", "da", "n"])
+    postings = materialize(join_hot_split(each, materialize(shared, "minhash-buckets"), ["token"], "members"), "minhash-postings")
+    # How often others share a document's buckets: most for the text that the others vary.
+    ids = materialize(postings.groupBy("rep").agg(F.sum("members").alias("company")), "minhash-candidates")
+    sets = full_sets(docs, ids.select("rep"), id_col, text_col).dropDuplicates(["rep", "da", "n"])
     sets = materialize(sets.select("rep", "n", "tokens"), "minhash-sets")
 
     label = ids.withColumn("label", F.col("rep"))
     edges = None
     for round_ in range(STAR_ROUNDS):
-        labelled = materialize(postings.join(label, "rep"), "minhash-labelled")
+        labelled = materialize(postings.drop("members").join(label, "rep"), "minhash-labelled")
         spread = labelled.groupBy("token", "label").count().groupBy("token").agg(
             F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("same"))
         left = spread.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.sum("m")).first()
         if round_ and (left[0] or 0) <= PAIRS_PER_POSTING * (left[1] or 0):
             break
-        pivot = labelled.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64(F.lit(round_), "rep").alias("rank"), "rep", "n", "bits")).alias("p"),
+        some = labelled.filter(F.col("band") % PARTS == round_ % PARTS)
+        rank = F.struct(-F.col("company"), F.col("rep")) if not round_ else F.struct(F.xxhash64(F.lit(round_), "rep"), F.col("rep"))
+        pivot = some.groupBy("token").agg(
+            F.min(F.struct(rank.alias("rank"), "rep", "n", "bits", "label")).alias("p"),
             F.count(F.lit(1)).alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-        pivot = materialize(pivot.select("token", "members", F.col("p.rep").alias("a"), F.col("p.n").alias("na"), F.col("p.bits").alias("bits_a")), "minhash-pivots")
-        sides = labelled.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-        pairs = join_hot_split(sides, pivot, ["token"], "members").filter("a <> b").filter(_may()).select("a", "b").distinct()
-        hit = materialize(verified(materialize(pairs, "minhash-pairs"), sets), "minhash-stars")
-        edges = hit if edges is None else edges.unionByName(hit)
-        # A linked document takes the label of the star with the most leaves while it has none of its
-        # own; the centre of a star keeps its own.
-        hubs = hit.groupBy("a").agg(F.count(F.lit(1)).alias("leaves")).join(label.withColumnRenamed("rep", "a"), "a")
-        best = join_hot_split(hit, materialize(hubs, "minhash-stars"), ["a"], "leaves").groupBy("b").agg(
-            F.max(F.struct("leaves", "a", "label")).alias("hub")).select(F.col("b").alias("rep"), F.col("hub.label").alias("theirs"))
-        label = label.join(best, "rep", "left").select(
-            "rep", F.when((F.col("label") == F.col("rep")) & F.col("theirs").isNotNull(), F.col("theirs")).otherwise(F.col("label")).alias("label"))
-        label = materialize(label, "minhash-labels")
+        pivot = materialize(pivot.select(
+            "token", "members", F.col("p.rep").alias("a"), F.col("p.n").alias("na"), F.col("p.bits").alias("bits_a"), F.col("p.label").alias("label_a")), "minhash-pivots")
+        sides = some.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"), F.col("label").alias("label_b"))
+        near_by = join_hot_split(sides, pivot, ["token"], "members").filter("label_a <> label_b").filter(_may())
+        chosen = near_by.groupBy("b", "a").agg(F.max("members").alias("members")).groupBy("b").agg(
+            F.slice(F.sort_array(F.collect_list(F.struct("members", "a")), False), 1, CENTRES).alias("of"))
+        pairs = chosen.select(F.explode("of.a").alias("a"), "b")
+        hit = verified(materialize(pairs, "minhash-pairs"), sets)
+        edges = materialize(forest(hit if edges is None else edges.unionByName(hit)), "minhash-forest")
+        parts = grouped(edges).withColumnRenamed("node", "rep")
+        label = materialize(ids.join(parts, "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component"), "minhash-labels")
     else:
-        labelled = materialize(postings.join(label, "rep"), "minhash-labelled")
-
-    # Labels of a bucket meet only if their sizes leave room for a link.
-    several = labelled.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    one, two = (several.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("label", "least", "most"))) for x in "ab")
-    meet = one.join(two, "token").filter(
-        f"label_a < label_b AND 100 * most_a >= {PERCENT} * least_b AND 100 * most_b >= {PERCENT} * least_a").select("token", "label_a", "label_b")
+        labelled = materialize(postings.drop("members").join(label, "rep"), "minhash-labelled")
+
+    # Labels of a bucket meet only if their sizes leave room for a link, and those of one member each
+    # only if these may be linked.
+    several = labelled.groupBy("token", "label").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("members"), F.min("bits").alias("bits"))
+    one, two = (several.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("label", "least", "most", "members", "bits"))) for x in "ab")
+    # The smaller label of a bucket comes first: only its members are listed before sets of both sides are compared.
+    room = F.expr("struct(members_a, label_a) < struct(members_b, label_b) AND "
+                  f"100 * most_a >= {PERCENT} * least_b AND 100 * most_b >= {PERCENT} * least_a")
+    alike = F.expr("members_a > 1 OR members_b > 1") | _agree(F.col("most_a"), F.col("most_b"), F.col("bits_a"), F.col("bits_b"))
+    meet = one.join(two, (one["token"] == two["token"]) & room & alike).select(one["token"], "label_a", "label_b")
     side_a, side_b = (labelled.select(
         "token", F.col("label").alias(f"label_{x}"), F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
-    pairs = meet.join(side_a, ["token", "label_a"]).join(side_b, ["token", "label_b"]).filter(_may()).select("a", "b").distinct()
+    pairs = meet.join(side_a, ["token", "label_a"]).join(side_b, ["token", "label_b"]).filter(_may()).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     last = verified(materialize(pairs, "minhash-pairs"), sets)
     return classes, materialize(edges.unionByName(last), "minhash-links")
 
@@ -299,6 +345,8 @@ def minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     100 * common >= 80 * union are linked; component_id is the smallest doc_id that links
     reach, kept says that it is the row's own. A candidate pair is linked only after its whole
     sets were compared; a pair at 80 % fails to become a candidate with probability 1e-7.
+    Pairs a little below 80 % are candidates as well: of a large group of texts that are just
+    too different to be linked, each pair that signatures cannot tell is compared.
 
     Defined cases: null, empty and wordless texts have no shingles and no links; a text of
     fewer than four words is one shingle; a null id takes part in no link, has a null
@@ -307,7 +355,7 @@ def minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     found = sketches(docs, id_col, text_col)
     classes, edges = links(docs, found, id_col, text_col)
-    parts = components(forest(edges))
+    parts = grouped(materialize(forest(edges), "minhash-forest"))
     named = materialize(classes.join(parts, classes["rep"] == parts["node"], "left").select(
         "da", "db", "n", "copies", F.coalesce("component", "rep").alias("component_id")), "minhash-named")
     taking = "n > 0 AND doc_id IS NOT NULL"

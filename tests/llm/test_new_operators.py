@@ -177,6 +177,22 @@ def test_signatures_estimate_similarity_with_lower_variance():
         assert (s < 2**64 - 1).all()
 
 
+def test_variance_factor_and_least_agreement():
+    rng = np.random.default_rng(7)
+    for n in (20, 150, 1000):
+        size = 9 * n // 8
+        common = rng.integers(1, 2**63, (600, n), dtype=np.uint64)
+        sets = [np.hstack([common, rng.integers(1, 2**63, (600, size - n), dtype=np.uint64)]) for _ in range(2)]
+        s = minhash.super_minhash(np.concatenate([x.ravel() for x in sets]), np.repeat(np.arange(1200), size), 1200)
+        j = n / (2 * size - n)
+        measured = (s[:600] == s[600:]).mean(axis=1).var() / (j * (1 - j) / minhash.SIZE)
+        assert abs(measured / minhash.variance_factor(2 * size - n) - 1) < 0.25
+        x = minhash.bits_of(s[:600]) ^ minhash.bits_of(s[600:])
+        unlike = np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(axis=1)
+        assert (minhash.SIZE - unlike >= minhash.least_agreement(size)).all()
+    assert 380 <= minhash.least_agreement(1 << 30) < minhash.least_agreement(128) < 400
+
+
 def test_forest_keeps_what_edges_connect(spark, monkeypatch):
     monkeypatch.setattr(minhash, "FOREST_EDGES", 5)
     rng = random.Random(2)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clinisift.operators import hashing as H
 from clinisift.operators import inference as I
 from clinisift.operators import vectors as V
+from clinisift.session import materialize
 from clinisift.sources import bindings as B
 
 from . import text_sql as T
@@ -89,6 +91,17 @@ add("nearest_neighbors_by_id", _neighbors_by_id,
       WHERE rank <= 5""")
 
 
+def _documents_by_hash(s, d):
+    """Documents whose own word vectors point the same way."""
+    v = B.table(s, d, "documents").select("doc_id", V.text_vector(F.col("text")).alias("embedding"))
+    return H.similarity_join_by_hash(materialize(v, "text-vectors"), 0.95, id_col="doc_id")
+
+
+# Hashed candidates: no SQL, as a few pairs at the threshold may be missed; recall is tested.
+add("similarity_by_hash", lambda s, d: H.similarity_join_by_hash(vecs(s, d), 0.4))
+add("document_similarity", _documents_by_hash)
+
+
 def _echo(prompts):
     """Stand-in for a model: the length of the prompt."""
     return [f"answer:{len(p)}" for p in prompts]

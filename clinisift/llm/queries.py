@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +13,8 @@ from clinisift.session import fresh_path
 
 from . import alignment, bpe, exact_dedup, html_text, minhash, mixing, near_dedup, phrases, repeats, revisits, token_files, topk, toxicity
 
-#: Where the public tokenizer files lie; a parameter of the operators.
-WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
+#: Where the public tokenizer file lies; a parameter of the operators.
+WORD_BPE = vocabulary("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,13 +74,12 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    """Long documents are likelier than short ones of their source, by the square root of their words."""
+    return mixing.mix(table(spark, sf_dir, "documents"), row_weight=mixing.by_length(F.col("text")))
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from public_tokenizers import path
-
-    found = alignment.alignment(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"), sha256)
+    found = alignment.alignment(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), sha256)
     return found.withColumnRenamed("groups", "groups_sha256")
 
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import html
+import math
 import re
 
 import numpy as np
@@ -126,6 +127,45 @@ def test_mixing_comes_near_the_targets(spark):
     assert share[0] == pytest.approx(share[1], rel=0.1)
 
 
+def brute_times(rows, target, cap=3):
+    """Expected copies of (weight, size): level * weight up to the cap, by bisection."""
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(cap, level * w) * n for w, n in rows) < target else (low, level)
+    return [min(cap, low * w) for w, _ in rows]
+
+
+def test_mixing_by_row_weights(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, "w " * int(rng.integers(1, 40)), f"s{min(i % 9, 3)}", float([1, 2, 8][i % 7 % 3])) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, worth double").cache()
+    of = {r[0]: (r[2], r[3]) for r in rows}
+    taken, seeds = collections.Counter(), 8
+    for seed in range(seeds):
+        got = mixing.mix(docs, row_weight=F.col("worth"), seed=seed).collect()
+        for s in {r.source for r in got}:
+            some = [r for r in got if r.source == s]
+            assert abs(sum(r.taken for r in some) - some[0].target) <= max(r.size for r in some)
+        assert max(r.copies for r in got) <= 3
+        taken.update({r.doc_id: r.copies for r in got})
+    for s in {r.source for r in got}:
+        some = [r for r in got if r.source == s]
+        times = brute_times([(of[r.doc_id][1], r.size) for r in some], some[0].target)
+        for w in (1, 2, 8):  # copies of each weight follow its expected number
+            mine = [(taken[r.doc_id], t) for r, t in zip(some, times) if of[r.doc_id][1] == w]
+            mean, want = np.mean([n for n, _ in mine]) / seeds, mine[0][1]
+            assert mean == pytest.approx(want, abs=0.03), (s, w)
+            assert all(seeds * int(want - 1e-6) <= n <= seeds * math.ceil(want + 1e-6) for n, _ in mine)  # the whole part is certain
+    assert any(0 < t % 1 < 1 for t in times)
+
+
+def test_row_weights_that_are_no_weights(spark):
+    rows = [(1, "a b", "s", None), (2, "a b c", "s", float("nan")), (3, None, "s", -1.0), (4, "x", None, 0.0), (5, "", "t", float("inf"))]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, worth double"), row_weight=F.col("worth")).collect()
+    assert len(got) == 5 and all(0 <= r.taken <= 3 * r.size for r in got)
+
+
 def test_mixing_with_many_sources(spark):
     rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.concat(F.lit("s"), F.col("id") % 900).alias("source"))
     got = mixing.mix(rows).collect()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +14,24 @@ from clinisift.llm.common import bounded_broadcast, lower_ascii, without
 from clinisift.session import materialize, shared_dir
 
 
+def any_names(stage: Callable) -> Callable:
+    """``stage`` on documents whose further columns may have any names: inside it they are numbered."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inside = [c if c in ("doc_id", "text", "source") else f"other_{k}" for k, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*inside), sf_dir).toDF(*docs.columns)
+
+    return run
+
+
+@any_names
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model does not reject."""
+    """Documents that the severity model does not reject.
+
+    Rows go one by one: equal ids and null ids are scored by their own text. Null and empty texts
+    have no features and stay; without labels of both kinds every row is scored alike.
+    """
     labels = queries.table(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.fit(docs, labels)).filter("NOT toxicity.toxic").drop("toxicity")
 
@@ -26,6 +44,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return rows.select(*docs.columns, F.when(F.col("doc_id").isNull() | F.col("shared_").isNotNull(), own).otherwise(F.col("doc_id").cast("long")).alias("row_key"))
 
 
+@any_names
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id.
 
@@ -38,6 +57,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(rows, materialize(gone, "copies"), "row_key").drop("row_key")
 
 
+@any_names
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect the one with the smallest doc_id.
 
@@ -49,14 +69,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return without(rows, materialize(gone, "near-copies"), "row_key").drop("row_key")
 
 
+@any_names
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, each row by itself."""
+    """Documents as often as the mix takes them, each row by itself.
+
+    Rows of a source have equal chances. A null source is one of its own; rows without words are
+    taken as often as others of their source and bring none; rows of a null id or a shared one
+    count by themselves, those equal in all columns alike.
+    """
     rows = keyed(docs).withColumnsRenamed({"doc_id": "given_id", "row_key": "doc_id"})
     return mixing.mixed_rows(rows, mixing.mix(rows)).drop("doc_id").withColumnRenamed("given_id", "doc_id").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of ids and decoded text of each row."""
+    """doc_id, n_tokens and digests of ids and decoded text of each row, repeated ones too; a null text
+    is the empty one, further columns are left out."""
     return queries.bpe_digests(docs)
 
 

@@ -93,3 +93,15 @@ def test_null_ids_and_one_id_with_two_texts(spark):
     named = spark.createDataFrame([(k, t, "en", "s", 1) for (_, t), k in keys.items()], kind)
     times = {r.doc_id: r.copies for r in mixing.mix(named).collect() if r.copies}
     assert collections.Counter(keys[(r.doc_id, r.text)] for r in corpus_pipeline.mix_sources(spark, near, SF).collect()) == times
+
+
+def test_columns_of_any_name(spark):
+    names = ["toxicity", "row_key", "given_id", "shared_", "id_", "copies_", "copy_", "id", "size", "u", "c0", "a.b", "other_1"]
+    rows = [(i, t, "en", "s", *[k * 100 + i for k in range(len(names))]) for i, t in enumerate(["a b c", "A b c", " ".join(f"w{i}" for i in range(70)), None])]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *names])
+    now = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = materialize(stage(spark, now, SF), "stage")
+        assert now.columns == docs.columns and now.schema == docs.schema
+    assert {tuple(r) for r in now.collect()} <= set(rows) and now.count() > 0
+    assert corpus_pipeline.encode(spark, now, SF).count() == now.count()

@@ -20,7 +20,9 @@ from ..session import broadcast_if_small, materialize
 from . import vectors as V
 
 # Vectors that a bucket should hold, and beyond which it is hot and split by a second signature.
-BUCKET, HOT = 512, 1024
+BUCKET, HOT = 512, 2048
+# Vectors that are hashed together.
+SLICE = 1024
 # Bits of the second signature; a vector of a hot bucket is also sent to the parts one bit away.
 SPLIT_BITS = 3
 # Bands, at most: bits per band are taken away until the recall needs no more.
@@ -69,11 +71,12 @@ def band_rows(vectors: DataFrame, bands: Bands, with_vec: bool = True) -> DataFr
     """(rep, band, bucket, part) of (rep, vec), each vector once per band."""
     def sign(parts):
         for p in parts:
-            if len(p):
-                bucket, part = bands.signatures(V._unit(np.array(p["vec"].tolist(), dtype=np.float64)))
-                row = np.repeat(np.arange(len(p)), bands.n)
-                out = {"rep": p["rep"].to_numpy()[row], "band": np.tile(np.arange(bands.n), len(p)), "bucket": bucket.ravel(), "part": part.ravel()}
-                yield pd.DataFrame(out | ({"vec": p["vec"].to_numpy()[row]} if with_vec else {}))
+            # A slice at a time and a band at a time: a batch of long vectors is never held once per band.
+            for lo in range(0, len(p), SLICE):
+                some = p.iloc[lo:lo + SLICE]
+                bucket, part = bands.signatures(V._unit(np.array(some["vec"].tolist(), dtype=np.float64)))
+                for k in range(bands.n):
+                    yield (some if with_vec else some[["rep"]]).assign(band=k, bucket=bucket[:, k], part=part[:, k])
 
     kind = ", vec " + vectors.schema["vec"].dataType.simpleString() if with_vec else ""
     return vectors.select("rep", "vec").mapInPandas(sign, f"rep {vectors.schema['rep'].dataType.simpleString()}, band int, bucket long, part int{kind}")

@@ -24,7 +24,7 @@ def exact(m, threshold):
     return {(i, j): s[i, j] for i, j in zip(*np.nonzero(np.triu(s >= threshold, 1)))}
 
 
-@pytest.mark.parametrize("hot", [1024, 16])
+@pytest.mark.parametrize("hot", [2048, 16])
 def test_recall_and_exact_scores(spark, monkeypatch, hot):
     monkeypatch.setattr(H, "BUCKET", 64)
     monkeypatch.setattr(H, "HOT", hot)  # with 16 every bucket is split, and most parts are dealt into blocks

@@ -13,8 +13,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import enrich as E
@@ -23,8 +22,8 @@ from ..sources import filelog as L
 
 LOG = "file_id long, file_name string, file_path string, file_type string, event_time timestamp_ntz, landed_at timestamp_ntz, batch_id long"
 LEDGER = "file_id long, processed_at timestamp_ntz, batch_id long"
-AUDIT = "file_id long, file_name string, modality string, status string, row_count long, error string, ts timestamp_ntz, batch_id long"
-SEGMENT = "turn long, role string, text string"
+AUDIT = "file_id long, file_name string, modality string, status string, row_count long, error string, own_fault boolean, ts timestamp_ntz, batch_id long"
+SEGMENT = "turn long, role string, text string, malformed string"
 IDS = {"PDF": "doc_id", "TXT": "txt_id", "AUDIO": "audio_id"}
 
 
@@ -46,8 +45,9 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 
 def newest(rows: DataFrame, key: str) -> DataFrame:
     """Of rows with one key those of the latest batch."""
-    last = F.row_number().over(W.partitionBy(key).orderBy(F.desc("batch_id")))
-    return rows.withColumn("_age", last).filter(F.col("_age") == 1).drop("_age")
+    # Only keys and batch numbers are grouped; whole rows (texts, vectors) are not sorted.
+    last = rows.groupBy(key).agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, [key, "batch_id"], "left_semi").select(*rows.columns)
 
 
 def read_intelligence(ws: Workspace, spark: SparkSession, modality: str) -> DataFrame:
@@ -55,14 +55,34 @@ def read_intelligence(ws: Workspace, spark: SparkSession, modality: str) -> Data
     return newest(read_table(spark, ws.table(f"intelligence-{modality.lower()}")), IDS[modality])
 
 
+def segments_of(text: Column) -> Column:
+    """The timed segments of a recording, one JSON line each; blank lines are passed over. What
+    does not parse, or has no turn, is in ``malformed``."""
+    lines = F.filter(F.split(text, "\n"), lambda line: F.trim(F.translate(line, "\r\t", "  ")) != "")
+    parsed = F.transform(lines, lambda line: F.struct(F.from_json(line, SEGMENT, {"columnNameOfCorruptRecord": "malformed"}).alias("s"), line.alias("line")))
+    return F.transform(parsed, lambda x: F.struct(
+        x["s"]["turn"].alias("turn"), x["s"]["role"].alias("role"), x["s"]["text"].alias("text"),
+        F.when(x["s"]["malformed"].isNotNull() | x["s"]["turn"].isNull(), x["line"]).alias("malformed")))
+
+
+def fault_of(content: Column, modality: str) -> Column:
+    """Why a file cannot be loaded whatever else is in its batch; null if nothing is known against it."""
+    text = content.cast("string")
+    fault = F.when(content.isNull(), "the file is gone").when(~F.is_valid_utf8(text), "the content is not UTF-8 text")
+    if modality == "AUDIO":
+        wrong = F.filter(segments_of(text), lambda s: s["malformed"].isNotNull())
+        fault = fault.when(F.size(wrong) > 0, F.concat(F.lit("lines that are no segments: "), F.size(wrong).cast("string")))
+    return fault
+
+
 def parse_content(files: DataFrame, modality: str) -> DataFrame:
     """Contents of landed files in the shape the enrichment of their modality takes.
-    Recordings arrive as one JSON line per timed segment."""
+    Recordings arrive as one JSON line per timed segment; one without any has one empty segment."""
     text = F.make_valid_utf8(F.col("content").cast("string"))
     text = F.when(text.endswith("\n"), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text)
     if modality == "AUDIO":
-        lines = files.select(F.col("file_id").alias("id"), "file_name", F.explode(F.split(text, "\n")).alias("line"))
-        return lines.select("id", "file_name", F.from_json("line", SEGMENT).alias("s")).select("id", "file_name", "s.*")
+        rows = files.select(F.col("file_id").alias("id"), "file_name", F.explode_outer(segments_of(text)).alias("s"))
+        return rows.select("id", "file_name", "s.turn", "s.role", "s.text")
     return files.select(F.col("file_id").alias("id"), "file_name", text.alias("html" if modality == "PDF" else "text"))
 
 
@@ -92,7 +112,9 @@ def process_new_files(ws: Workspace, batch: DataFrame, batch_id: int) -> DataFra
     each modality, then enters the handled ids in the ledger. Returns the audit rows, one per file.
 
     Files that failed before are taken up again, ``max_attempts`` times at most. A file that is
-    no UTF-8 text fails by itself; if a modality fails, its files do. Neither stops the others.
+    no UTF-8 text, or a recording with a line that is no segment, fails by itself, and so does
+    one that makes its batch fail: see :func:`load_apart`. Where a modality cannot be loaded
+    whatever its files hold, they stay pending and none uses up an attempt.
     """
     spark = batch.sparkSession
     arrived = fresh_path(spark, "arrived")
@@ -126,30 +148,69 @@ def retries(ws: Workspace, spark: SparkSession, batch_id: int) -> DataFrame:
     """Pending files of earlier batches that have attempts left."""
     log = read_table(spark, ws.table("log"), LOG).filter(F.col("batch_id") < batch_id).drop("batch_id")
     ledger = read_table(spark, ws.table("ledger"), LEDGER).filter(F.col("batch_id") != batch_id)
-    failed = read_table(spark, ws.table("audit"), AUDIT).filter((F.col("status") == "LOAD_FAILED") & (F.col("batch_id") != batch_id))
+    failed = read_table(spark, ws.table("audit"), AUDIT).filter(F.col("own_fault") & (F.col("batch_id") != batch_id))
     spent = failed.groupBy("file_id").agg(F.count(F.lit(1)).alias("attempts")).filter(F.col("attempts") >= ws.max_attempts)
     todo = L.pending_files(log, ledger, [t for types in TYPES.values() for t in types]).join(spent.select("file_id"), "file_id", "left_anti")
     return materialize(todo.orderBy("event_time", "file_id").limit(ws.retry_files), "retries")
 
 
+def load_apart(load: Callable[[DataFrame], DataFrame], files: DataFrame) -> tuple[list[DataFrame], list[tuple[int, str]]]:
+    """What ``load`` makes of ``files``, without those that make it fail: (written parts, [(file_id, error)]).
+
+    Files that fail together are halved by their numbers until a file that fails stands alone,
+    so k such files among n cost about k * log2(n) jobs. Raises if ``load`` fails without any
+    file, for then no file is to blame.
+    """
+    files = materialize(files, "apart")
+    materialize(load(files.limit(0)), "no-files")
+    parts, blamed, todo = [], [], [(0, 2), (1, 2)]
+    while todo:
+        rest, modulus = todo.pop()
+        some = files.filter(F.pmod("file_id", F.lit(modulus)) == rest)
+        ids = [r["file_id"] for r in some.select("file_id").limit(2).collect()]
+        if not ids:
+            continue
+        try:
+            parts.append(materialize(load(some), "part"))
+        except Exception as e:  # noqa: BLE001 - whatever a file causes is entered in the audit
+            if len(ids) == 1:
+                blamed.append((ids[0], str(e)))
+            else:
+                todo += [(rest, 2 * modulus), (rest + modulus, 2 * modulus)]
+    return parts, blamed
+
+
 def handle(ws: Workspace, spark: SparkSession, log: DataFrame, content: DataFrame, batch_id: int, modalities: list[str] | None = None) -> None:
     """Enriches logged files with their content; writes rows, audit and ledger of the batch."""
     done, audit = [], []
     for modality in modalities or list(TYPES):
         mine = log.filter(F.col("file_type").isin(TYPES[modality]))
-        read = mine.join(content, "file_path", "left").withColumn("fault", F.when(F.col("content").isNull(), "the file is gone").when(
-            ~F.is_valid_utf8(F.col("content").cast("string")), "the content is not UTF-8 text"))
+        read = mine.join(content, "file_path", "left").withColumn("fault", fault_of(F.col("content"), modality))
         good = read.filter("fault IS NULL")
+        path = ws.table(f"intelligence-{modality.lower()}")
+
+        def load(files: DataFrame, modality: str = modality) -> DataFrame:
+            return E.enrich_document(parse_content(files, modality), modality, ws.vocabularies[modality], ws.processed_at(), ws.embeddings)
+
+        outside = F.lit(None).cast("string")  # a fault that is none of the files'
         try:
-            rows = E.enrich_document(parse_content(good, modality), modality, ws.vocabularies[modality], ws.processed_at(), ws.embeddings)
-            write_intelligence(rows, ws.table(f"intelligence-{modality.lower()}"), batch_id)
-            done.append(good.select("file_id"))
-            fault = F.col("fault")
+            try:
+                write_intelligence(load(good), path, batch_id)
+            except Exception:  # noqa: BLE001 - one file must not stop the others
+                parts, blamed = load_apart(load, good)
+                if parts:
+                    write_intelligence(reduce(DataFrame.unionByName, parts), path, batch_id)
+                if blamed:
+                    alone = F.broadcast(spark.createDataFrame(blamed, "file_id long, own string"))
+                    read = read.join(alone, "file_id", "left").withColumn("fault", F.coalesce("fault", "own"))
+            done.append(read.filter("fault IS NULL").select("file_id"))
         except Exception as e:  # noqa: BLE001 - one modality must not stop the others
-            fault = F.coalesce("fault", F.lit(str(e)))
+            outside = F.lit(str(e))
+        fault = F.coalesce("fault", outside)
         audit.append(read.select(
             "file_id", "file_name", F.lit(modality).alias("modality"), F.when(fault.isNull(), "LOADED").otherwise("LOAD_FAILED").alias("status"),
-            F.when(fault.isNull(), 1).otherwise(0).cast("long").alias("row_count"), fault.alias("error"), ws.processed_at().cast("timestamp_ntz").alias("ts")))
+            F.when(fault.isNull(), 1).otherwise(0).cast("long").alias("row_count"), fault.alias("error"), F.col("fault").isNotNull().alias("own_fault"),
+            ws.processed_at().cast("timestamp_ntz").alias("ts")))
     write_intelligence(reduce(DataFrame.unionByName, audit), ws.table("audit"), batch_id)
     if done:
         ledger = L.ledger_rows(reduce(DataFrame.unionByName, done), batch_id, ws.processed_at()).drop("batch_id")

@@ -121,6 +121,65 @@ def test_a_file_that_fails_too_often_is_left_alone(spark, roots, tmp_path):
     assert PR.process_new_files(ws, batch.limit(0), 2).count() == 0
 
 
+def test_failing_files_are_found_by_halves(spark):
+    files = spark.range(200).select((F.col("id") * 3 + 5).alias("file_id"))
+
+    def load(some):
+        return some.withColumn("x", F.when(F.col("file_id").isin(8, 11, 305), F.raise_error(F.lit("poison"))).otherwise("ok"))
+
+    parts, blamed = PR.load_apart(load, files)
+    assert sorted(i for i, _ in blamed) == [8, 11, 305] and all("poison" in e for _, e in blamed)
+    got = [r["file_id"] for p in parts for r in p.collect()]
+    assert len(got) == len(set(got)) == 197 and len(parts) < 40
+    with pytest.raises(KeyError):
+        PR.load_apart(lambda some: {}["nothing"], files)
+
+
+def test_poison_and_malformed_files_fail_alone(spark, roots, tmp_path, monkeypatch):
+    """A file that makes every job over it fail, and recordings that are no segments, among others."""
+    ws = space(tmp_path)
+    ws.embeddings = False
+    for i in range(4):
+        with open(f"{roots['TXT']}/t{i}.txt", "w") as f:
+            f.write("POISON here\n" if i == 2 else f"The nurse saw the vitals of {i}.\n")
+    for name, text in {"a.wav": json.dumps({"turn": 0, "role": "user", "text": "hello"}) + "\n\n", "b.wav": "no json\n", "c.wav": '{"turn": "x", "role": "user", "text": "t"}\n',
+                       "d.wav": "\n", "e.wav": '{"role": "user", "text": "no turn"}\n'}.items():
+        with open(f"{roots['AUDIO']}/{name}", "w") as f:
+            f.write(text)
+    enrich = PR.E.enrich_document
+
+    def poisoned(docs, modality, *rest):
+        if modality == "TXT":
+            docs = docs.withColumn("text", F.when(F.contains("text", F.lit("POISON")), F.raise_error(F.lit("poison"))).otherwise(F.col("text")))
+        return enrich(docs, modality, *rest)
+
+    monkeypatch.setattr(PR.E, "enrich_document", poisoned)
+    batch = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([roots["TXT"], roots["AUDIO"]]).select(
+        F.when(F.endswith("path", F.lit(".txt")), "TXT").otherwise("AUDIO").alias("location"), LD.base_name(F.col("path")).alias("file_name"),
+        F.col("path").alias("file_path"), F.col("modificationTime").alias("event_time"), "content")
+    rows = PR.process_new_files(ws, batch, 0).collect()
+    failed = {r["file_name"]: r for r in rows if r["status"] == "LOAD_FAILED"}
+    assert set(failed) == {"t2.txt", "b.wav", "c.wav", "e.wav"} and all(r["own_fault"] and r["error"] for r in failed.values())
+    assert len(rows) == 9 and "poison" in failed["t2.txt"]["error"] and failed["b.wav"]["error"].endswith(": 1")
+    texts = PR.read_intelligence(ws, spark, "TXT")
+    assert texts.count() == 3 and texts.filter(F.contains("raw_text", F.lit("POISON"))).count() == 0
+    assert {r["file_name"]: r["n_segments"] for r in PR.read_intelligence(ws, spark, "AUDIO").collect()} == {"a.wav": 1, "d.wav": 1}
+    monkeypatch.setattr(PR.E, "enrich_document", enrich)
+    again = {r["file_name"]: r["status"] for r in PR.process_new_files(ws, batch.limit(0), 1).collect()}
+    assert set(again) == set(failed) and {f for f, s in again.items() if s == "LOADED"} == {"t2.txt"} and PR.read_intelligence(ws, spark, "TXT").count() == 4
+
+
+def test_a_fault_outside_the_files_uses_up_no_attempt(spark, roots, tmp_path):
+    ws = space(tmp_path)
+    ws.max_attempts = 1
+    drop(roots, 2, 1)
+    good = ws.vocabularies.pop("PDF")
+    rows = PR.process_new_files(ws, batch_of(spark, roots), 0).collect()
+    assert {r["own_fault"] for r in rows if r["status"] == "LOAD_FAILED"} == {False}
+    ws.vocabularies["PDF"] = good
+    assert [r["status"] for r in PR.process_new_files(ws, batch_of(spark, roots).limit(0), 1).collect()] == ["LOADED", "LOADED"]
+
+
 def test_forced_rerun_leaves_one_current_row(spark, roots, tmp_path):
     ws = space(tmp_path)
     drop(roots, 3, 1)
@@ -178,6 +237,34 @@ def test_index_refresh_equals_rebuild(spark, tmp_path):
     assert (a.n_docs, a.total_len) == (b.n_docs, b.total_len)
 
 
+def test_changed_and_deleted_documents_equal_a_rebuild(spark, tmp_path):
+    """Thirteen batches: new texts, changed ones, deletions, ids that come back, a replay."""
+    path, now = str(tmp_path / "index"), {}
+    for b in range(13):
+        rows = [(i, f"heart w{i % 5} b{b}", False) for i in range(b * 3, b * 3 + 6)] + [(1, None if b == 9 else f"pain in batch {b}", None), (b, "x", True)]
+        if b % 4 == 2:
+            rows = [r for r in rows if r[0] != b] + [(b, f"back again {b}", False)]
+        df = spark.createDataFrame(rows, "id long, text string, deleted boolean")
+        for _ in range(2 if b in (3, 7) else 1):  # these two are taken in twice, as after a crash
+            IR.append_postings(df, b, path)
+        gone = {r[0] for r in rows if r[2]}
+        for i in {r[0] for r in rows}:
+            now.pop(i, None)
+            if i not in gone:
+                now[i] = " ".join(r[1] or "" for r in rows if r[0] == i)
+    levels = [r["level"] for r in IR.segments(spark, path)]
+    assert levels == [1, 1, 1, 0]  # 13 batches in four segments
+    rebuilt = R.postings_of(spark.createDataFrame(sorted(now.items()), "id long, text string"))
+    got = IR.read_index(spark, path)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rebuilt.collect()))
+    a, b = IR.refreshed_index(got), R.index_of(rebuilt)
+    assert (a.n_docs, a.total_len) == (b.n_docs, b.total_len)
+    for k in range(13, 16):
+        IR.append_postings(spark.createDataFrame([(i, None, True) for i in range(0, 60)], "id long, text string, deleted boolean"), k, path)
+    assert [r["level"] for r in IR.segments(spark, path)] == [2] and IR.read_index(spark, path).count() == 0
+    assert spark.read.parquet(f"{path}/segment-15-2/documents").count() == 0  # nothing older is left that these deletions could meet
+
+
 def test_reference_load_splits_bad_rows(spark, tmp_path):
     from pyspark.sql import types as T
     (tmp_path / "p.csv").write_text("id,name,active\n1,A,true\n2,B,\nx,C,true\n")

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 
 from .common import give_back, tidy_batches
 
-#: UTF-8 bytes of text whose words share one index.
-BLOCK_BYTES = 4 << 20
+#: UTF-8 bytes of text whose words share one index. What a block leaves is given back before the next one.
+BLOCK_BYTES = 2 << 20
 #: Words whose encoding a task remembers before it starts afresh.
 KNOWN_WORDS = 100_000
 #: Long texts are read in pieces of about so many characters, cut before white space.
@@ -218,6 +218,24 @@ def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
         start = end
 
 
+def coded_batches(batches: Iterator[pa.RecordBatch], vocab_path: str, decoded: bool = False) -> Iterator[pa.RecordBatch]:
+    """Batches of (id, text) as (doc_id, ids[, decoded]), block by block; memory is given back after each block."""
+    names = ["doc_id", "ids", *["decoded"] * decoded]
+    vocab = Vocabulary(vocab_path)
+    coder, tokens = Coder(vocab), token_strings(vocab) if decoded else None
+    give_back()  # what reading the file took
+    for batch in batches:
+        keys, texts = batch.column(0), batch.column(1)
+        for start, end in _blocks(texts):
+            flat, counts = coder.encode(texts.slice(start, end - start).to_pylist())
+            offsets = np.r_[0, np.cumsum(counts)]
+            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+            said = [joined(tokens, ids.values, offsets)] if decoded else []
+            yield pa.RecordBatch.from_arrays([keys.slice(start, end - start), ids, *said], names)
+            del flat, counts, offsets, ids, said
+            give_back()
+
+
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id and ids, the token ids of the whole text; with
     ``decoded`` also what :func:`decode` makes of the ids, in the same pass.
@@ -229,20 +247,8 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     repeated rows; very long texts are read in pieces; an empty table gives no rows; further
     columns are ignored. The tokenizer file is read by its path in every task.
     """
-    names = ["doc_id", "ids", *["decoded"] * decoded]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = Vocabulary(vocab_path)
-        coder, tokens = Coder(vocab), token_strings(vocab) if decoded else None
-        give_back()  # what reading the file took
-        for batch in batches:
-            keys, texts = batch.column(0), batch.column(1)
-            for start, end in _blocks(texts):
-                flat, counts = coder.encode(texts.slice(start, end - start).to_pylist())
-                offsets = np.r_[0, np.cumsum(counts)]
-                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
-                said = [joined(tokens, ids.values, offsets)] if decoded else []
-                yield pa.RecordBatch.from_arrays([keys.slice(start, end - start), ids, *said], names)
+        return coded_batches(batches, vocab_path, decoded)
 
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = rows.schema[0].dataType.simpleString()

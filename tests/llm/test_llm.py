@@ -213,6 +213,19 @@ def test_bpe_pieces_and_blocks(library, monkeypatch):
         assert flat.tolist() == library.encode(t, add_special_tokens=False).ids and counts.tolist() == [len(flat)]
 
 
+def test_bpe_gives_memory_back_after_each_block(library, monkeypatch):
+    import pyarrow as pa
+
+    given = []
+    monkeypatch.setattr(bpe, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 50)
+    some = [t for t in TEXTS if t and len(t) < 5000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(some))), pa.array(some)], ["doc_id", "text"])
+    blocks = list(bpe.coded_batches(iter([batch]), VOCAB, True))
+    assert len(blocks) > 1 and len(given) == len(blocks) + 1
+    assert [i for b in blocks for i in b["ids"].to_pylist()] == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
 def test_bpe_merges_like_one_pair_at_a_time():
     vocab = bpe.Vocabulary(VOCAB)
     rank = {(int(a), int(b)): r for r, (a, b) in enumerate(zip(vocab.left, vocab.right, strict=True))}

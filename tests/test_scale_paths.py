@@ -125,6 +125,21 @@ def test_group_summary_of_a_hot_group(spark, no_broadcast):
     assert len(r) == 8 and r["hot"] == "Heart rate steady case 0. Heart rate steady case 3. Heart rate steady case 6."
 
 
+def test_postings_are_counted_in_place_and_exchanged_once(spark):
+    rows = [(1, "Pain, pain heart"), (1, "Pain, pain heart"), (1, "heart"), (2, None), (3, ""), (4, " - "), (None, "heart rate"), (5, "x" * 5_000_000 + " pain")]
+    d = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    words = V.word_rows(V.counted(d))
+    plan = R.sorted_postings(words)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning(") == 1 and "hashpartitioning(" not in plan
+    ix = R.build_index(d, with_vectors=True)
+    got = {(r["id"], r["term"][:9], r["tf"], r["doc_len"]) for r in ix.postings.collect()}
+    assert got == {(1, "pain", 4, 3), (1, "heart", 2, 3), (1, "heart", 1, 1), (None, "heart", 1, 2), (None, "rate", 1, 2), (5, "xxxxxxxxx", 1, 2), (5, "pain", 1, 2)}
+    # Statistics of the documents are those that the postings give.
+    again = R.index_of(ix.postings, with_vectors=True)
+    assert (ix.n_docs, ix.total_len) == (again.n_docs, again.total_len) == (3, 7)
+    assert sorted(map(str, ix.vectors.collect())) == sorted(map(str, again.vectors.collect()))
+
+
 def test_search_does_not_depend_on_partitions_or_broadcast(spark, monkeypatch):
     d = spark.createDataFrame([(i, " ".join(["pain"] * (i % 5) + ["heart"] * (i % 3) + [f"w{i}"])) for i in range(90)], "id long, text string")
     q = spark.createDataFrame([(1, "heart pain"), (2, "w7 heart")], "query_id long, query string")

@@ -66,3 +66,27 @@ def test_given_vectors_recall(spark):
     want = {(r.id_a, r.id_b) for r in V.similarity_join(e, 0.4).collect()}
     got = {(r.id_a, r.id_b) for r in H.similarity_join_by_hash(e, 0.4).collect()}
     assert got <= want and len(got) >= 0.9 * len(want)
+
+
+def test_sketches_are_sent_once_per_block_and_vectors_only_for_candidates(spark, monkeypatch):
+    """Cells and blocks of a few rows, hot buckets: every pair is a candidate once, and what is sent for a vector does not grow with the bands."""
+    m = clustered(7, 600, 24)
+    v = frame(spark, m).selectExpr("vec_id AS rep", "embedding AS vec")
+    bands = H.Bands(12, 3, 1)
+    sent = H.in_cells(H.sketch_rows(v, bands), 4).groupBy("rep").agg({"sketch": "count"}).collect()
+    assert len(sent) == 600 and {r[1] for r in sent} == {4}
+    monkeypatch.setattr(H, "HOT", 64)
+    rows = H.sketch_rows(v, bands).toPandas()
+    x, y = H.Sketches(rows.iloc[:300], bands), H.Sketches(rows.iloc[300:], bands)
+    hot = {0: np.array([1, 2]), 5: np.arange(8)}
+    for a, b, same in ((x, y, False), (x, x, True)):
+        got = list(zip(*(z.tolist() for z in H.candidates(a, b, bands, hot, 300, same)), strict=True))
+        want = set()
+        for i in range(300):
+            for j in range(300):
+                agree = bands.width - int(np.bitwise_count(a.words[i] ^ b.words[j]).sum())
+                meets = any(a.bucket[i, k] == b.bucket[j, k] and (a.bucket[i, k] not in hot.get(k, []) or int(a.part[i, k] ^ b.part[j, k]).bit_count() <= 2)
+                            for k in range(bands.n))
+                if agree >= 300 and meets and a.rep[i] < b.rep[j]:
+                    want.add((a.rep[i], b.rep[j]))
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 20

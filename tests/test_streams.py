@@ -2,6 +2,7 @@
 
 import json
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -180,6 +181,29 @@ def test_a_fault_outside_the_files_uses_up_no_attempt(spark, roots, tmp_path):
     assert [r["status"] for r in PR.process_new_files(ws, batch_of(spark, roots).limit(0), 1).collect()] == ["LOADED", "LOADED"]
 
 
+def test_contents_are_read_once_and_modalities_run_side_by_side(spark, roots, tmp_path, monkeypatch):
+    ws = space(tmp_path)
+    drop(roots, 2, 1)
+    files = batch_of(spark, roots).withColumn("file_id", F.xxhash64("file_path"))
+    log = files.select("file_id", "file_name", "file_path", F.when(F.col("location") == "AUDIO", "WAV").otherwise(F.col("location")).alias("file_type"))
+    reads, meet, enrich = spark.sparkContext.accumulator(0), threading.Barrier(3, timeout=60), PR.E.enrich_document
+
+    @F.udf("binary")
+    def counted(content):
+        reads.add(1)
+        return bytes(content)
+
+    def together(*args):
+        meet.wait()
+        return enrich(*args)
+
+    monkeypatch.setattr(PR.E, "enrich_document", together)
+    PR.handle(ws, spark, log, files.select("file_path", counted("content").alias("content")), 0)
+    audit = PR.read_table(spark, ws.table("audit"), PR.AUDIT)
+    assert reads.value == 6 and audit.filter("status = 'LOADED' AND error IS NULL").count() == 6
+    assert PR.read_table(spark, ws.table("ledger"), PR.LEDGER).count() == 6
+
+
 def test_forced_rerun_leaves_one_current_row(spark, roots, tmp_path):
     ws = space(tmp_path)
     drop(roots, 3, 1)

@@ -35,6 +35,8 @@ SLICE = 512
 #: Star rounds, each over one of the parts of the bands, go on while more than so many pairs per posting are
 #: left to test; in a round a document is tested against the centres of its so many largest buckets.
 PAIRS_PER_POSTING, STAR_ROUNDS, PARTS, CENTRES = 4, 5, 4, 3
+#: A bucket with more pairs of different labels than so many per member is crowded.
+CROWDED = 4
 #: Edges that one local union-find holds.
 FOREST_EDGES = 1 << 19
 _NONE = np.iinfo(np.uint64).max
@@ -220,6 +222,44 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * F.col("common") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b").distinct()
 
 
+def rare_first(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(token, rep, label, n, pos), written once: the prefixes of the sets of the written ``members`` (rep, label).
+
+    Shingles are ordered by how many of these sets hold them, those of one set only first. Sets that may be
+    linked share one of their first n - 0.8 n + 1; ``pos`` counts from 0 and ``n - pos`` bounds what is shared
+    from there on. A shingle of one set only has a place, but no row."""
+    each = sets.join(bounded_broadcast(members), "rep").select("rep", "label", "n", "da", F.explode("tokens").alias("token"))
+    often = materialize(each.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1"), "minhash-often")
+    known = join_hot_split(each, often, ["token"], "sets").groupBy("rep", "label", "n", "da").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "token"))).alias("known")).withColumn("alone", F.col("n") - F.size("known"))
+    length = F.floor((100 - PERCENT) * F.col("n") / 100) + 1 - F.col("alone")
+    first = known.filter(length > 0).select("rep", "label", "n", "alone", F.posexplode(F.slice("known.token", 1, length.cast("int"))).alias("i", "token"))
+    return materialize(first.select("token", "rep", "label", "n", (F.col("alone") + F.col("i")).alias("pos")), "minhash-prefixes")
+
+
+def rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of ``members`` (rep, label) with different labels that may be linked by size and first common shingle.
+
+    Sets of one size with a shingle at one place meet others as one spot, and only spots that leave room
+    list their labels, only different labels their members."""
+    prefixes = rare_first(members, sets)
+    spot = ["token", "n", "pos"]
+    spots = materialize(prefixes.groupBy(*spot).agg(F.min("label").alias("low"), F.max("label").alias("high")), "minhash-spots")
+    one, two = (spots.toDF("token", f"n{x}", f"pos_{x}", f"low_{x}", f"high_{x}") for x in "ab")
+    room = F.expr(
+        "struct(na, pos_a) <= struct(nb, pos_b) AND least(low_a, low_b) < greatest(high_a, high_b) "
+        f"AND 100 * least(na, nb) >= {PERCENT} * greatest(na, nb) AND {100 + PERCENT} * least(na - pos_a, nb - pos_b) >= {PERCENT} * (na + nb)")
+    near = one.join(two, (one["token"] == two["token"]) & room).select(one["token"], "na", "pos_a", "nb", "pos_b")
+    labels = materialize(prefixes.groupBy(*spot, "label").agg(F.count(F.lit(1)).alias("members")), "minhash-spot-labels").drop("members")
+    for x in "ab":
+        near = near.join(labels.toDF("token", f"n{x}", f"pos_{x}", f"label_{x}"), ["token", f"n{x}", f"pos_{x}"])
+    near = near.filter("label_a <> label_b AND (na <> nb OR pos_a <> pos_b OR label_a < label_b)")
+    for x in "ab":
+        side = prefixes.select("token", F.col("n").alias(f"n{x}"), F.col("pos").alias(f"pos_{x}"), F.col("label").alias(f"label_{x}"), F.col("rep").alias(x))
+        near = near.join(side, ["token", f"n{x}", f"pos_{x}", f"label_{x}"])
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def forest(edges: DataFrame) -> DataFrame:
     """(a, b) that connect what ``edges`` (a, b) connect: each task joins its edges by union-find and
     returns one edge for each node, to the least node it has found for it."""
@@ -268,6 +308,13 @@ def grouped(edges: DataFrame) -> DataFrame:
     return components(edges)
 
 
+def apart(labelled: DataFrame) -> DataFrame:
+    """(token, m, left): members of each bucket, and its pairs with different labels."""
+    spread = labelled.groupBy("token", "label").count().groupBy("token").agg(
+        F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("same"))
+    return spread.select("token", "m", ((F.col("m") * F.col("m") - F.col("same")) / 2).alias("left"))
+
+
 def links(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(classes, links): the classes of equal sets (da, db, n, rep, copies), and verified links (a, b) between
     representatives that connect all that the candidate pairs connect.
@@ -275,8 +322,10 @@ def links(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: s
     Representatives that share a band are candidates. In a star round each bucket has a centre,
     the same for as many buckets as possible; documents are tested against the centres of their
     largest buckets, and all that links connect take one label (union-find). Then all members of a bucket meet
-    wherever their labels still differ: no candidate pair is left untested, and a large group
-    of near copies is never paired with itself.
+    wherever their labels still differ. Where that is more than ``CROWDED`` pairs a member, as in a large group
+    of texts just too different to be linked, only those meet whose rarest shingles leave room for a link
+    (``rare_pairs``, which loses none): no candidate pair that may be linked is left untested, and a large
+    group of near copies is never paired with itself.
     """
     key = ["da", "db", "n"]
     near = found.filter("n > 0 AND doc_id IS NOT NULL")
@@ -289,15 +338,13 @@ def links(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: s
     # How often others share a document's buckets: most for the text that the others vary.
     ids = materialize(postings.groupBy("rep").agg(F.sum("members").alias("company")), "minhash-candidates")
     sets = full_sets(docs, ids.select("rep"), id_col, text_col).dropDuplicates(["rep", "da", "n"])
-    sets = materialize(sets.select("rep", "n", "tokens"), "minhash-sets")
+    sets = materialize(sets.select("rep", "da", "n", "tokens"), "minhash-sets")
 
     label = ids.withColumn("label", F.col("rep"))
     edges = None
     for round_ in range(STAR_ROUNDS):
         labelled = materialize(postings.drop("members").join(label, "rep"), "minhash-labelled")
-        spread = labelled.groupBy("token", "label").count().groupBy("token").agg(
-            F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("same"))
-        left = spread.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.sum("m")).first()
+        left = apart(labelled).agg(F.sum("left"), F.sum("m")).first()
         if round_ and (left[0] or 0) <= PAIRS_PER_POSTING * (left[1] or 0):
             break
         some = labelled.filter(F.col("band") % PARTS == round_ % PARTS)
@@ -319,6 +366,9 @@ def links(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: s
     else:
         labelled = materialize(postings.drop("members").join(label, "rep"), "minhash-labelled")
 
+    crowds = materialize(apart(labelled).filter(F.col("left") > CROWDED * F.col("m")).select("token"), "minhash-crowds")
+    crowded = labelled.join(crowds, "token", "left_semi").select("rep", "label").distinct()
+    labelled = labelled.join(crowds, "token", "left_anti")
     # Labels of a bucket meet only if their sizes leave room for a link, and those of one member each
     # only if these may be linked.
     several = labelled.groupBy("token", "label").agg(
@@ -333,6 +383,8 @@ def links(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: s
         "token", F.col("label").alias(f"label_{x}"), F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
     pairs = meet.join(side_a, ["token", "label_a"]).join(side_b, ["token", "label_b"]).filter(_may()).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    if not crowds.isEmpty():
+        pairs = pairs.unionByName(rare_pairs(materialize(crowded, "minhash-crowded"), sets)).distinct()
     last = verified(materialize(pairs, "minhash-pairs"), sets)
     return classes, materialize(edges.unionByName(last), "minhash-links")
 

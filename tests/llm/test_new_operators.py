@@ -163,6 +163,24 @@ def test_minhash_groups_of_copies_and_common_passages(spark):
     assert sorted(map(tuple, minhash.minhash(docs).collect()), key=repr) == brute_near(rows_of(docs))
 
 
+def test_minhash_group_of_texts_just_too_different(spark, monkeypatch):
+    rng = random.Random(21)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for k in range(500):  # some are linked with a few in the middle, most are too far from all others
+        text = list(base)
+        for at in rng.sample(range(150), rng.choice([1, 2, 3, 5, 5, 6, 6])):
+            text[at] = f"x{k}_{at}" if rng.random() < 0.95 else f"x{at}"
+        rows.append((k if k % 50 else None if k else 7, " ".join(text), None))  # a null id, one id twice
+    tested, verified = [], minhash.verified
+    monkeypatch.setattr(minhash, "verified", lambda pairs, sets: tested.append(pairs.count()) or verified(pairs, sets))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    found = sorted(map(tuple, minhash.minhash(docs).collect()), key=repr)
+    assert found == brute_near(rows_of(docs))
+    assert 30 < len({r[2] for r in found}) < 450
+    assert tested[-1] < 10 * len(rows), tested
+
+
 def test_signatures_estimate_similarity_with_lower_variance():
     rng = np.random.default_rng(1)
     for n in (1, 30, 600):

@@ -398,7 +398,7 @@ def minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     reach, kept says that it is the row's own. A candidate pair is linked only after its whole
     sets were compared; a pair at 80 % fails to become a candidate with probability 1e-7.
     Pairs a little below 80 % are candidates as well: of a large group of texts that are just
-    too different to be linked, each pair that signatures cannot tell is compared.
+    too different to be linked, each pair that neither signatures nor rare shingles can tell is compared.
 
     Defined cases: null, empty and wordless texts have no shingles and no links; a text of
     fewer than four words is one shingle; a null id takes part in no link, has a null

@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clinisift.llm import alignment, minhash, phrases, queries, repeats
 
@@ -80,6 +81,13 @@ def test_alignment_as_brute_force(docs, none, monkeypatch):
     assert alignment.alignment(none, A, B).count() == 0
 
 
+def test_blocks_of_aligned_texts_are_small(spark):
+    rows = spark.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.lit(BASE + " "), 320).alias("text")).coalesce(1)
+    blocks = alignment.link_blocks(rows, A, B, queries.sha256).select(F.explode("docs.n_links").alias("n"), "block").groupBy("block").agg(F.sum("n").alias("n"))
+    links = [r["n"] for r in blocks.collect()]
+    assert len(links) > 1 and max(links) < 2_000_000
+
+
 def test_aligned_rows_spell_the_text(docs):
     import sentencepiece
 

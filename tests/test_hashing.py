@@ -1,6 +1,11 @@
 """Similar vectors by hash, against all products."""
 
+import hashlib
+import tracemalloc
+
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from clinisift.operators import hashing as H
@@ -90,3 +95,73 @@ def test_sketches_are_sent_once_per_block_and_vectors_only_for_candidates(spark,
                 if agree >= 300 and meets and a.rep[i] < b.rep[j]:
                     want.add((a.rep[i], b.rep[j]))
         assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+
+def peak_of(run):
+    tracemalloc.start()
+    try:
+        kept = run()
+        return kept, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_sketches_are_taken_apart_in_slices():
+    bands = H.Bands(40, 9, 1)
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({"rep": np.arange(16384), "sketch": [r.tobytes() for r in rng.integers(0, 256, (16384, bands.width // 8), dtype=np.uint8)]})
+    x, most = peak_of(lambda: H.Sketches(rows, bands))
+    assert most < 4 * (x.words.nbytes + x.bucket.nbytes + x.part.nbytes)
+
+
+@pytest.mark.parametrize("bits", [2, 8])
+def test_short_vectors_are_scored_where_they_meet(bits):
+    """As candidates by sketches that are scored after, in whole blocks (few bits) and by buckets; parts stay small."""
+    m = clustered(11, 700, 16, per=20)
+    bands = H.Bands(6, bits, 1)
+    parts = [H.Vectors(pa.table({"rep": np.arange(at, 700, 2), "vec": pa.array(m[at::2].tolist(), pa.list_(pa.float32()))}), bands) for at in (0, 1)]
+    hot = {0: np.array([1, 2]), 3: np.arange(4)}
+    want = exact(m, 0.8)
+    for x, y in ((parts[0], parts[1]), (parts[1], parts[1])):
+        a, b = H.candidates(x, y, bands, hot, 300, x is y)
+        expected = {p: want[p] for p in zip(a.tolist(), b.tolist(), strict=True) if p in want}
+        got = [list(zip(*(c.tolist() for c in part), strict=True)) for part in H.near_parts(x, y, bands, hot, 300, 0.8, x is y)]
+        flat = [r for part in got for r in part]
+        assert len(flat) == len({r[:2] for r in flat}) and len(expected) > 20
+        assert {r[:2] for r in flat} == set(expected) and all(abs(r[2] - expected[r[:2]]) < 2e-6 for r in flat)
+
+
+def test_tasks_hand_on_what_they_find(monkeypatch):
+    """A crowd in which all are near each other: neither candidates nor hits are held together."""
+    monkeypatch.setattr(H, "CELL", 1 << 12)
+    monkeypatch.setattr(H, "ROWS", 1 << 12)
+    m = np.ones((400, 16)) + 0.01 * np.random.default_rng(2).normal(size=(400, 16))
+    bands = H.Bands(3, 2, 1)
+    x = H.Vectors(pa.table({"rep": np.arange(400), "vec": pa.array(m.tolist())}), bands)
+    for parts, names in ((H.candidate_parts(x, x, bands, {}, 0, True), ("a", "b")), (H.near_parts(x, x, bands, {}, 0, 0.9, True), H.HITS)):
+        sizes = [b.num_rows for b in H.handed_on(parts, names)]
+        assert sum(sizes) == 400 * 399 // 2 and max(sizes) <= 2 << 12
+
+
+def test_only_the_vectors_of_one_cell_are_held():
+    vec = pa.list_(pa.float64())
+    unit = [[1.0, 0.0], [0.6, 0.8], [0.0, 1.0], [2.0, 0.0]]
+    rows = [(0, 0, 1, None, unit[0]), (0, 0, 2, None, unit[1]), (0, 0, 2, None, unit[3]), (0, 0, 1, 2, None), (0, 1, 3, None, unit[2]), (0, 1, 2, None, unit[1]),
+            (0, 1, 2, 3, None), (0, 1, 2, 3, None)]
+    kind = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("vec", vec)])
+    table = pa.Table.from_pylist([dict(zip(kind.names, r, strict=True)) for r in rows], kind)
+    for size in (1, 3, 100):
+        got = [r for part in H.scored_pairs(iter(table.to_batches(max_chunksize=size)), 0.5) for r in zip(*(c.tolist() for c in part), strict=True)]
+        assert sorted(got) == [(1, 2, 0.6), (1, 2, 1.0), (2, 3, 0.8), (2, 3, 0.8)]
+
+
+def test_vectors_of_words_as_by_hand(monkeypatch):
+    monkeypatch.setattr(V, "SLICE_BYTES", 8)
+    texts = ["a b a", "", None, "é", "a  b", "one two three four five six seven"]
+    got = V.word_vectors(pa.array(texts)).to_pylist()
+    for text, vector in zip(texts, got, strict=True):
+        n = np.zeros(V.DIM)
+        for w in (text or "").split():
+            n[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % V.DIM] += 1
+        assert vector is None if not n.any() else vector == (n / np.sqrt(n @ n)).astype(np.float32).tolist()
+    assert V.word_vectors(pa.array([], pa.string())).to_pylist() == []

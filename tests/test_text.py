@@ -1,5 +1,6 @@
 """Text operators on small documents in the shapes a clinic writes, with edge rows."""
 
+import functools
 import re
 
 import pytest
@@ -145,3 +146,25 @@ def test_sentences_keep_their_digits(spark):
     t = "Case 100. 0 urgent 0. Follow 11."
     r = S.key_insights(docs(spark, [(1, t)])).first()["key_insights"]
     assert r == "INSIGHTS: Case 100. 0 urgent 0. Follow 11.\nURGENT: 0 urgent 0.\nFOLLOW-UP: Follow 11."
+
+
+def test_rules_skip_only_texts_without_a_match(spark):
+    """As the rules one after the other over every text, also where one rule makes or breaks what another looks for."""
+    texts = [None, "", "plain", "a@b.co", "x.y+z@mail-1.example.org 10.0.0.1", 'token = "a@b.co"', 'Secret:"x" and 1234567812345678', "1234-5678-1234-5678", "1234 5678 1234 5678",
+             "123-45-6789 (555) 123-4567 555-123-4567", "MRN-12345678-AB", "DOB: 1/2/1980 date of birth: 1980-02-01", "Patient Name: A B\nProvider: C", "Physician: D", "Patient: E-F",
+             "Address: 1 Road\naddress: 2", "1.2.3", "é1234567812345678", "[SECRET] api_key:\"\""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    plain = F.col("text")
+    for _, pattern, placeholder in RD.RULES:
+        plain = F.regexp_replace(plain, pattern, placeholder)
+    left = functools.reduce(lambda a, b: a | b, [F.col("text").rlike(p) for p in RD.PATTERNS])
+    for r in rows.select("text", plain.alias("want"), RD.redact(F.col("text")).alias("got"), left.alias("left"), RD.left_over(F.col("text")).alias("left_got")).collect():
+        assert r["got"] == r["want"] and r["left_got"] == r["left"], r["text"]
+    assert RD.HELD[RD.PATTERNS[1]] == ["@"] and set(RD.HELD) == set(RD.PATTERNS)
+
+
+def test_texts_are_enriched_in_many_tasks(spark):
+    """Little data, long work: the exchange by file is not coalesced."""
+    files = spark.range(50).select("id", F.lit("f").alias("file_name"), F.lit("One word. Two words.").alias("text"))
+    rows = E.enrich_document(files, "TXT", E.TEXT_VOCABULARY, F.current_timestamp(), embeddings=False).select("txt_id", "redacted_text")
+    assert rows.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
